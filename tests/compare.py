@@ -1,0 +1,91 @@
+"""Compare every registered query with its SQL on DuckDB: ``python tests/compare.py [sf_dir] [name ...]``."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import DataFrame, SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    return con
+
+
+def _key(row: tuple) -> tuple:
+    return tuple((value is None, str(value)) for value in row)
+
+
+def _normal(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    return value
+
+
+def differences(frame: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """What differs between the two results, rows in any order; empty when they agree."""
+    result = con.execute(sql)
+    names = [column[0] for column in result.description]
+    if sorted(names) != sorted(frame.columns):
+        return [f"columns {sorted(frame.columns)} != {sorted(names)}"]
+    order = sorted(names)
+    types = {column[0]: str(column[1]) for column in result.description}
+    expected = [tuple(_normal(dict(zip(names, row))[n]) for n in order) for row in result.fetchall()]
+    actual = [tuple(_normal(row[n]) for n in order) for row in frame.collect()]
+    found = []
+    spark_types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    for name, kind in frame.dtypes:
+        want = spark_types.get(kind, kind.upper())
+        if want.replace(" ", "") != types[name].replace(" ", ""):
+            found.append(f"type of {name}: {kind} != {types[name]}")
+    if len(actual) != len(expected):
+        found.append(f"{len(actual)} rows != {len(expected)}")
+    pairs = zip(sorted(actual, key=_key), sorted(expected, key=_key))
+    found += [f"{a} != {e}" for a, e in pairs if a != e][:3]
+    return found
+
+
+def session() -> SparkSession:
+    from quartier.session import SETTINGS
+
+    builder = SparkSession.builder.master("local[8]").appName("compare").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
+def main() -> int:
+    import __spark_entry__ as registry
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    chosen = sys.argv[2:]
+    spark, con, sql, bad = session(), connect(sf_dir), registry.oracle_sql(), 0
+    spark.sparkContext.setLogLevel("ERROR")
+    for name, query in registry.queries().items():
+        if chosen and name not in chosen:
+            continue
+        start = time.time()
+        frame = query(spark, sf_dir)
+        found = differences(frame, con, sql[name])
+        bad += bool(found)
+        print(f"{'DIFF' if found else 'ok  '} {name} {time.time() - start:.1f}s", *found, sep="\n     " if found else " ")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main())
