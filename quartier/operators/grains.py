@@ -54,10 +54,9 @@ def mark_first(rows: DataFrame, order: str, mark: str) -> DataFrame:
     return rows.withColumn(mark, first.cast("long"))
 
 
-def category_weights(bridge: DataFrame, category: DataFrame) -> DataFrame:
-    """One row per business and category name, with how often the bridge holds the pair."""
-    named = bridge.join(category, "category_id")
-    return named.groupBy("business_id", "category_name").agg(row_count().alias("weight"))
+def category_weights(bridge: DataFrame) -> DataFrame:
+    """One row per business and category, with how often the bridge holds the pair."""
+    return bridge.groupBy("business_id", "category_id").agg(row_count().alias("weight"))
 
 
 def businesses(fact: DataFrame, *counts: str) -> DataFrame:

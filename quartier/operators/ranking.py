@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 _SLICE_DECIMALS = 5
 
 
-def _match(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
     """Inner join on ``names`` under which two NULL groups match."""
     renamed = right.withColumnsRenamed({n: f"_{n}" for n in names})
     condition = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
@@ -26,10 +26,10 @@ def _before(total: Column, window: W) -> Column:
     return F.coalesce(F.sum(total).over(ahead), F.lit(0).cast("long"))
 
 
-def rank_desc(df: DataFrame, value: str, rank: str, by: list[str] | None = None, dense: bool = False) -> DataFrame:
-    """Add the rank of a decimal ``value``, highest first, over all rows or within the groups ``by``.
+def ranks_desc(df: DataFrame, value: str, rank: str, by: list[str] | None = None, dense: bool = False) -> DataFrame:
+    """The rank of every distinct decimal ``value``, highest first, over all rows or within the groups ``by``.
 
-    Ties are collapsed to distinct values before anything is sorted and get their rank back through a join, so
+    Ties are collapsed to distinct values before anything is sorted, and :func:`match` hands the ranks to the rows, so
     neither a group with a third of the rows nor a value shared by a third of them ends up in one task.
     """
     by = by or []
@@ -46,8 +46,7 @@ def rank_desc(df: DataFrame, value: str, rank: str, by: list[str] | None = None,
     within = W.partitionBy(*by, "slice").orderBy(F.desc(value))
     values = values.withColumn("within", _before(F.col("n"), within))
     position = (F.col("ahead") + F.col("within") + 1).cast("int")
-    ranks = _match(values, slices, [*by, "slice"]).select(*by, value, position.alias(rank))
-    return _match(df, ranks, [*by, value])
+    return match(values, slices, [*by, "slice"]).select(*by, value, position.alias(rank))
 
 
 def top_ranks(df: DataFrame, descending: str, ascending: str, k: int, rank: str) -> DataFrame:

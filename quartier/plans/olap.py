@@ -28,7 +28,7 @@ from quartier.operators.grains import (
     scored,
     with_months,
 )
-from quartier.operators.ranking import rank_desc, top_ranks
+from quartier.operators.ranking import match, ranks_desc, top_ranks
 from quartier.session import cut_lineage
 
 # Labels of subtotal rows and flags (fixed values).
@@ -83,8 +83,10 @@ def cube_state_category_year(
     through the bridge does.
     """
     years = business_years(scored(fact), location, calendar, parts("review_count"), ["state"])
+    # Names are joined early here: the totals over categories must leave out pairs without a known category.
+    named = category_weights(bridge).join(category, "category_id")
     rows = mark_first(years, "year", "first_year").join(
-        mark_first(category_weights(bridge, category), "category_name", "first_category"), "business_id"
+        mark_first(named, "category_id", "first_category"), "business_id"
     )
     weight = F.col("weight")
     all_states, all_categories, all_years = (F.grouping(c) for c in ("state", "category_name", "year"))
@@ -136,11 +138,12 @@ def rank_cities(
             rank_value(mean_score()).alias("mean"),
         )
     )
-    ranked = rank_desc(cut_lineage(cities), "mean", "rang_dans_etat", by=["state"])
+    cities = cut_lineage(cities)
+    ranked = match(cities, ranks_desc(cities, "mean", "rang_dans_etat", by=["state"]), ["state", "mean"])
     columns = ["city", "state", "nb_commerces", "total_avis", half_up(F.col("mean"), 2).alias("note_moyenne")]
     if not overall:
         return ranked.select(*columns, "rang_dans_etat")
-    ranked = rank_desc(ranked, "mean", "rang_global", dense=True)
+    ranked = match(ranked, ranks_desc(cities, "mean", "rang_global", dense=True), ["mean"])
     if max_global_rank is not None:
         ranked = ranked.filter(F.col("rang_global") <= max_global_rank)
     return ranked.orderBy("rang_global", "state", "city").select(*columns, "rang_dans_etat", "rang_global")
@@ -249,19 +252,21 @@ def top_categories(
 ) -> DataFrame:
     """Q7: categories of each state by mean score, ranks 1 to ``k`` with ties; ``rows`` cuts the listing.
 
-    The window runs over the totals: the categories of one state.
+    Category names are joined to the totals, so that the bridge needs no shuffle on the category. The window runs over
+    the totals too: the categories of one state.
     """
     weight = F.col("weight")
     totals = (
         businesses(fact, "review_count")
         .join(location.select("business_id", "state"), "business_id")
-        .join(category_weights(bridge, category), "business_id")
-        .groupBy("state", "category_name")
+        .join(category_weights(bridge), "business_id")
+        .groupBy("state", "category_id")
         .agg(
             row_count().alias("nb_commerces"),
             F.sum(F.col("review_count") * weight).alias("total_avis"),
             rank_value(mean_score(weight)).alias("mean"),
         )
+        .join(category, "category_id")
     )
     rank = F.rank().over(W.partitionBy("state").orderBy(F.desc("mean")))
     ranked = totals.withColumn("rang_dans_etat", rank)

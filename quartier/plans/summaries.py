@@ -64,13 +64,15 @@ def category_stats(mart: Mart) -> DataFrame:
     return (
         _activity(mart.performance_fact)
         .join(mart.business.select("business_id", "stars"), "business_id")
-        .join(category_weights(mart.business_category, mart.category), "business_id")
-        .groupBy("category_name")
+        .join(category_weights(mart.business_category), "business_id")
+        .groupBy("category_id")
         .agg(
             row_count().alias("nb_commerces"),
             _weighted_stars("months * weight").alias("note_moyenne"),
             F.sum(F.col("review_count") * F.col("weight")).alias("total_reviews"),
         )
+        .join(mart.category, "category_id")
+        .select("category_name", "nb_commerces", "note_moyenne", "total_reviews")
     )
 
 

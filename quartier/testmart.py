@@ -3,6 +3,8 @@ tips and shipped lines are check-ins."""
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._tables[name]
 
     def reviews(self) -> DataFrame:
         return self._table("orders").select(
@@ -93,18 +98,44 @@ class Inputs:
         )
 
 
+class OrderMart:
+    """A :class:`quartier.plans.mart.Mart` over the generated tables whose parts are planned when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.inputs = Inputs(spark, sf_dir)
+
+    @cached_property
+    def business(self) -> DataFrame:
+        return dims.business_dim(self.inputs.profiles())
+
+    @cached_property
+    def location(self) -> DataFrame:
+        return dims.location_dim(self.inputs.places())
+
+    @cached_property
+    def _tagged(self) -> DataFrame:
+        return self.inputs.tagged()
+
+    @cached_property
+    def category(self) -> DataFrame:
+        return dims.category_dim(self._tagged)
+
+    @cached_property
+    def business_category(self) -> DataFrame:
+        return dims.business_category(self._tagged, self.category)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return dims.month_dim(self.inputs.reviews(), "date")
+
+    @cached_property
+    def performance_fact(self) -> DataFrame:
+        source = self.inputs
+        return facts.performance_fact(
+            source.reviews(), source.tips(), source.checkins(), self.location, self.calendar
+        )
+
+
 def build_mart(spark: SparkSession, sf_dir: str) -> Mart:
-    source = Inputs(spark, sf_dir)
-    location = dims.location_dim(source.places())
-    calendar = dims.month_dim(source.reviews(), "date")
-    category = dims.category_dim(source.tagged())
-    return Mart(
-        business=dims.business_dim(source.profiles()),
-        location=location,
-        category=category,
-        business_category=dims.business_category(source.tagged(), category),
-        calendar=calendar,
-        performance_fact=facts.performance_fact(
-            source.reviews(), source.tips(), source.checkins(), location, calendar
-        ),
-    )
+    """The star schema over the tables of a folder."""
+    return OrderMart(spark, sf_dir)
