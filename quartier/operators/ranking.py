@@ -36,17 +36,17 @@ def ranks_desc(df: DataFrame, value: str, rank: str, by: list[str] | None = None
     weight = F.lit(1).cast("long") if dense else F.count(F.lit(1))
     values = (
         df.groupBy(*by, value)
-        .agg(weight.alias("n"))
-        .withColumn("slice", F.floor(F.col(value) * 10**_SLICE_DECIMALS))
+        .agg(weight.alias("_count"))
+        .withColumn("_slice", F.floor(F.col(value) * 10**_SLICE_DECIMALS))
     )
-    slices = values.groupBy(*by, "slice").agg(F.sum("n").alias("n"))
+    slices = values.groupBy(*by, "_slice").agg(F.sum("_count").alias("_count"))
     slices = slices.select(
-        *by, "slice", _before(F.col("n"), W.partitionBy(*by).orderBy(F.desc("slice"))).alias("ahead")
+        *by, "_slice", _before(F.col("_count"), W.partitionBy(*by).orderBy(F.desc("_slice"))).alias("_ahead")
     )
-    within = W.partitionBy(*by, "slice").orderBy(F.desc(value))
-    values = values.withColumn("within", _before(F.col("n"), within))
-    position = (F.col("ahead") + F.col("within") + 1).cast("int")
-    return match(values, slices, [*by, "slice"]).select(*by, value, position.alias(rank))
+    within = W.partitionBy(*by, "_slice").orderBy(F.desc(value))
+    values = values.withColumn("_within", _before(F.col("_count"), within))
+    position = (F.col("_ahead") + F.col("_within") + 1).cast("int")
+    return match(values, slices, [*by, "_slice"]).select(*by, value, position.alias(rank))
 
 
 def top_ranks(df: DataFrame, descending: str, ascending: str, k: int, rank: str) -> DataFrame:
@@ -56,8 +56,8 @@ def top_ranks(df: DataFrame, descending: str, ascending: str, k: int, rank: str)
     rows are broadcast to pick the rows. However many rows tie, they stay where they are.
     """
     order = [F.desc(descending), F.asc(ascending)]
-    head = df.groupBy(descending, ascending).agg(F.count(F.lit(1)).alias("n")).orderBy(*order).limit(k)
+    head = df.groupBy(descending, ascending).agg(F.count(F.lit(1)).alias("_count")).orderBy(*order).limit(k)
     ranks = head.select(
-        descending, ascending, (_before(F.col("n"), W.orderBy(*order)) + 1).cast("int").alias(rank)
+        descending, ascending, (_before(F.col("_count"), W.orderBy(*order)) + 1).cast("int").alias(rank)
     ).filter(F.col(rank) <= k)
     return df.join(F.broadcast(ranks), [descending, ascending])
