@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from quartier import testmart
 from quartier.operators import dims, facts
-from quartier.plans import olap, summaries
-from quartier.plans.mart import Mart, load_bucketed_mart, save_bucketed_mart
+from quartier.plans import jobs, olap, summaries
+from quartier.plans.mart import Mart, Store
 from quartier.session import scratch_path
 from quartier.sinks import jdbc as sink
-from quartier.sources import files, staged
+from quartier.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,10 +103,8 @@ def _key_counts(m: Mart) -> DataFrame:
 
 def _business_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the businesses as NDJSON, read them with the declared schema and project both dimensions."""
-    source = testmart.Inputs(spark, sf_dir)
     path = scratch_path(spark, "business")
-    records = source.profiles().join(source.places(), "business_id").join(source.tagged(), "business_id", "left")
-    records.write.json(path)
+    testmart.Inputs(spark, sf_dir).businesses().write.json(path)
     read = files.load_business(spark, path)
     profile = dims.business_dim(read).withColumn("attributes", F.to_json("attributes"))
     return profile.join(dims.location_dim(read).drop("location_id"), "business_id")
@@ -129,24 +127,30 @@ def _tip_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.tip_facts(files.load_tips(spark, path))
 
 
+def _built_mart(store: Store, sf_dir: str) -> Mart:
+    """The mart as the jobs stage it, from the tables of a folder."""
+    source = testmart.Inputs(store.spark, sf_dir)
+    jobs.build_dimensions(source.businesses(), store)
+    jobs.build_calendar(source.reviews(), store)
+    jobs.build_fact(source.reviews(), source.tips(), source.checkins(), store)
+    return store.mart()
+
+
 def _staged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "mart")
-    staged.save(_fact_columns(testmart.build_mart(spark, sf_dir)), root, "performance_fact")
-    return staged.load(spark, root, "performance_fact")
+    return _fact_columns(_built_mart(Store(spark, scratch_path(spark, "mart")), sf_dir))
 
 
 def _bucketed_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage the mart bucketed on the business and cube over the bucketed tables."""
     root = scratch_path(spark, "bucketed")
-    prefix = root.rsplit("-", 1)[1] + "_"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    save_bucketed_mart(testmart.build_mart(spark, sf_dir), root, buckets, prefix=f"q_{prefix}")
-    return _cube(load_bucketed_mart(spark, root, prefix=f"q_{prefix}"))
+    return _cube(_built_mart(Store(spark, root, buckets, prefix=f"q_{root.rsplit('-', 1)[1]}_"), sf_dir))
 
 
 def _refreshed(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return summaries.refresh(spark, name, testmart.build_mart(spark, sf_dir), scratch_path(spark, "summary"))
+        store = Store(spark, scratch_path(spark, "summary"))
+        return summaries.refresh(name, testmart.build_mart(spark, sf_dir), store)
 
     return run
 

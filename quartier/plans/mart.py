@@ -44,30 +44,33 @@ def warehouse_names(df: DataFrame, name: str) -> DataFrame:
     return df.withColumnRenamed("time_id", CALENDAR_KEY) if name == "calendar" else df
 
 
-def load_mart(spark: SparkSession, root: str) -> Mart:
-    """The mart from staged Parquet folders."""
-    return Mart(**{name: staged.load(spark, root, name) for name in TABLES})
+# Tables that grow with the businesses; bucketed alike, they join and group by business without a shuffle.
+BUCKETED = {"performance_fact", "location", "business_category", "business"}
 
 
-# Tables that grow with the businesses; they are bucketed alike so that they join without a shuffle.
-BUCKETED = ["performance_fact", "location", "business_category", "business"]
+@dataclass(frozen=True)
+class Store:
+    """Where staged tables live: folders below ``root``.
+
+    With ``buckets``, the large mart tables are catalog tables bucketed on the business, named with ``prefix``. Set
+    ``spark.sql.shuffle.partitions`` to the same number when building them to spare the write a shuffle of its own.
+    """
 
+    spark: SparkSession
+    root: str
+    buckets: int | None = None
+    prefix: str = ""
 
-def save_bucketed_mart(mart: Mart, root: str, buckets: int, prefix: str = "") -> None:
-    """Stage the mart with its large tables bucketed on ``business_id`` and its small ones as plain folders."""
-    for name in TABLES:
-        table = getattr(mart, name)
-        if name in BUCKETED:
-            staged.save_bucketed(table, prefix + name, buckets, path=f"{root}/{name}")
+    def save(self, df: DataFrame, name: str) -> None:
+        if self.buckets is not None and name in BUCKETED:
+            staged.save_bucketed(df, self.prefix + name, self.buckets, path=f"{self.root}/{name}")
         else:
-            staged.save(table, root, name)
+            staged.save(df, self.root, name)
 
+    def load(self, name: str) -> DataFrame:
+        if self.buckets is not None and name in BUCKETED:
+            return self.spark.table(self.prefix + name)
+        return staged.load(self.spark, self.root, name)
 
-def load_bucketed_mart(spark: SparkSession, root: str, prefix: str = "") -> Mart:
-    """The mart written by :func:`save_bucketed_mart`."""
-    return Mart(
-        **{
-            name: spark.table(prefix + name) if name in BUCKETED else staged.load(spark, root, name)
-            for name in TABLES
-        }
-    )
+    def mart(self) -> Mart:
+        return Mart(**{name: self.load(name) for name in TABLES})

@@ -159,7 +159,8 @@ def top_gems(
 ) -> DataFrame:
     """Q4: businesses with a mean of at least ``min_score`` and fewer than ``max_reviews`` reviews, ranks 1 to ``k``.
 
-    Ties at rank k are all kept; ``rows`` cuts to that many rows instead, in rank and business order.
+    Ties at rank k are all kept; ``rows`` cuts to that many rows instead, in rank and business order. The gems are
+    computed once and kept: ranking reads them twice, and both readings must see the very same means.
     """
     gems = (
         scored(fact)
@@ -173,7 +174,7 @@ def top_gems(
         .filter((F.col("mean") >= min_score) & (F.col("total_avis") < max_reviews))
         .join(location.select("business_id", "city", "state"), "business_id")
     )
-    ranked = top_ranks(gems, "mean", "total_avis", rows or k, "rang").orderBy("rang", "business_id")
+    ranked = top_ranks(cut_lineage(gems), "mean", "total_avis", rows or k, "rang").orderBy("rang", "business_id")
     if rows is not None:
         ranked = ranked.limit(rows)
     return ranked.select(
@@ -345,5 +346,8 @@ def potential_score(
     ).withColumn("est_pepite", F.when(gem, YES).otherwise(NO))
     if gems_only:
         report = report.filter(F.col("est_pepite") == YES)
-    report = report.orderBy(F.desc("score_potentiel"), "business_id")
-    return report if limit is None else report.limit(limit)
+    order = [F.desc("score_potentiel"), F.asc("business_id")]
+    if limit is not None:
+        return report.orderBy(*order).limit(limit)
+    # A global sort first samples its input, which here would run the whole scan and grouping a second time.
+    return cut_lineage(report).orderBy(*order)

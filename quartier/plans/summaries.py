@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartier.functions import half_up
 from quartier.operators.grains import business_years, category_weights, mean_score, parts, row_count
-from quartier.plans.mart import Mart
-from quartier.sources import staged
+from quartier.plans.mart import Mart, Store
 
 
 def state_years(mart: Mart) -> DataFrame:
@@ -84,11 +83,11 @@ SUMMARIES: dict[str, Callable[[Mart], DataFrame]] = {
 }
 
 
-def refresh(spark: SparkSession, name: str, mart: Mart, root: str) -> DataFrame:
+def refresh(name: str, mart: Mart, store: Store) -> DataFrame:
     """Recompute a summary from the mart, replace its stored table and return the stored rows."""
-    staged.save(SUMMARIES[name](mart), root, name)
-    return staged.load(spark, root, name)
+    store.save(SUMMARIES[name](mart), name)
+    return store.load(name)
 
 
-def refresh_all(spark: SparkSession, mart: Mart, root: str) -> dict[str, DataFrame]:
-    return {name: refresh(spark, name, mart, root) for name in SUMMARIES}
+def refresh_all(mart: Mart, store: Store) -> dict[str, DataFrame]:
+    return {name: refresh(name, mart, store) for name in SUMMARIES}

@@ -97,6 +97,10 @@ class Inputs:
             F.concat_ws(", ", F.array_sort(F.collect_list("p_type"))).alias("categories")
         )
 
+    def businesses(self) -> DataFrame:
+        """Whole business records, as the business file holds them."""
+        return self.profiles().join(self.places(), "business_id").join(self.tagged(), "business_id", "left")
+
 
 class OrderMart:
     """A :class:`quartier.plans.mart.Mart` over the generated tables whose parts are planned when first asked for."""

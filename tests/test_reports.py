@@ -11,7 +11,7 @@ import __spark_entry__ as registry
 from compare import differences
 from quartier.operators.dims import surrogate_key
 from quartier.plans import olap, summaries
-from quartier.plans.mart import Mart
+from quartier.plans.mart import Mart, Store
 
 CATEGORIES = ["Bars", "Cafés", "Hôtels", "Unused"]
 
@@ -148,9 +148,8 @@ def test_rounded_and_raw_means_decide_differently(spark):
 
 def test_refresh_replaces_the_stored_summaries(both, spark, tmp_path, as_rows):
     mart, _ = both
-    root = str(tmp_path)
     for _ in range(2):
-        stored = summaries.refresh_all(spark, mart, root)
+        stored = summaries.refresh_all(mart, Store(spark, str(tmp_path)))
     for name, compute in summaries.SUMMARIES.items():
         assert as_rows(stored[name]) == as_rows(compute(mart))
 
