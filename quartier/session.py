@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +28,14 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quartier-"))
-    return context.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="quartier-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,6 +44,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage; for a small frame that several branches of one plan read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once and go on from a table in the shared folder.
+
+    For a result that several branches of one plan read: they see the very same rows, a lost executor costs no
+    recomputation, and the planner knows the table's true size, so small ones are broadcast.
+    """
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
