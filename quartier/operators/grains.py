@@ -18,13 +18,17 @@ def scored(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("score_mean").isNotNull())
 
 
+# The two halves of a mean score.
+SCORE_PARTS = ["score_sum", "score_n"]
+
+
+def sums(*names: str) -> list[Column]:
+    return [F.sum(name).alias(name) for name in names]
+
+
 def parts(*counts: str) -> list[Column]:
     """Count totals plus the two halves of the mean score."""
-    return [
-        *[F.sum(name).alias(name) for name in counts],
-        F.sum("score_mean").alias("score_sum"),
-        F.count("score_mean").alias("score_n"),
-    ]
+    return [*sums(*counts), F.sum("score_mean").alias("score_sum"), F.count("score_mean").alias("score_n")]
 
 
 def mean_score(weight: Column | None = None) -> Column:

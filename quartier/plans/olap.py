@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quartier.functions import growth_pct, half_up, rank_value
 from quartier.operators.grains import (
+    SCORE_PARTS,
     business_years,
     businesses,
     category_weights,
@@ -26,6 +27,7 @@ from quartier.operators.grains import (
     parts,
     row_count,
     scored,
+    sums,
     with_months,
 )
 from quartier.operators.ranking import match, ranks_desc, top_ranks
@@ -47,15 +49,20 @@ def rollup_state_year(
 ) -> DataFrame:
     """Q1: businesses, reviews, check-ins and mean score by state and year, with subtotals; scored months only.
 
-    Without ``labels``, subtotal rows keep NULL keys, and check-ins and sorting are left out.
+    Without ``labels``, subtotal rows keep NULL keys, and check-ins and sorting are left out. Subtotals are expanded
+    from the cells of state and year, not from the businesses.
     """
     aggregates = parts("review_count", "checkin_count")
     years = business_years(scored(fact), location, calendar, aggregates, ["state"])
-    rows = mark_first(years, "year", "first_year")
-    totals = rows.rollup("state", "year").agg(
+    cells = (
+        mark_first(years, "year", "first_year")
+        .groupBy("state", "year")
+        .agg(row_count().alias("businesses"), *sums("first_year", "review_count", "checkin_count", *SCORE_PARTS))
+    )
+    totals = cells.rollup("state", "year").agg(
         F.grouping("state").alias("all_states"),
         F.grouping("year").alias("all_years"),
-        F.when(F.grouping("year") == 1, F.sum("first_year")).otherwise(row_count()).alias("nb_commerces"),
+        F.when(F.grouping("year") == 1, F.sum("first_year")).otherwise(F.sum("businesses")).alias("nb_commerces"),
         F.sum("review_count").alias("total_avis"),
         F.sum("checkin_count").alias("total_checkins"),
         half_up(mean_score(), 2).alias("note_moyenne"),
@@ -80,7 +87,7 @@ def cube_state_category_year(
     """Q2: businesses, reviews and mean score for every combination of state, category and year; scored months only.
 
     A total over categories counts a business once, but adds its reviews and scores once per category, as the join
-    through the bridge does.
+    through the bridge does. As in Q1, everything is summed per cell before the cells are expanded into subtotals.
     """
     years = business_years(scored(fact), location, calendar, parts("review_count"), ["state"])
     # Names are joined early here: the totals over categories must leave out pairs without a known category.
@@ -89,20 +96,26 @@ def cube_state_category_year(
         mark_first(named, "category_id", "first_category"), "business_id"
     )
     weight = F.col("weight")
-    all_states, all_categories, all_years = (F.grouping(c) for c in ("state", "category_name", "year"))
+    cells = rows.groupBy("state", "category_name", "year").agg(
+        row_count().alias("businesses"),
+        *sums("first_year", "first_category"),
+        F.sum(F.col("first_category") * F.col("first_year")).alias("first_both"),
+        *[F.sum(F.col(name) * weight).alias(name) for name in ("review_count", *SCORE_PARTS)],
+    )
+    all_categories, all_years = F.grouping("category_name") == 1, F.grouping("year") == 1
     counted = (
-        F.when((all_categories == 1) & (all_years == 1), F.sum(F.col("first_category") * F.col("first_year")))
-        .when(all_categories == 1, F.sum("first_category"))
-        .when(all_years == 1, F.sum("first_year"))
-        .otherwise(row_count())
+        F.when(all_categories & all_years, F.sum("first_both"))
+        .when(all_categories, F.sum("first_category"))
+        .when(all_years, F.sum("first_year"))
+        .otherwise(F.sum("businesses"))
     )
-    totals = rows.cube("state", "category_name", "year").agg(
-        all_states.alias("all_states"),
-        all_categories.alias("all_categories"),
-        all_years.alias("all_years"),
+    totals = cells.cube("state", "category_name", "year").agg(
+        F.grouping("state").alias("all_states"),
+        F.grouping("category_name").alias("all_categories"),
+        F.grouping("year").alias("all_years"),
         counted.alias("nb_commerces"),
-        F.sum(F.col("review_count") * weight).alias("total_avis"),
-        half_up(mean_score(weight), 2).alias("note_moyenne"),
+        F.sum("review_count").alias("total_avis"),
+        half_up(mean_score(), 2).alias("note_moyenne"),
     )
     return totals.orderBy(
         F.asc_nulls_last("state"),
