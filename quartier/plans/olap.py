@@ -10,6 +10,7 @@ business by then, without a distinct aggregate. Only the calendar is broadcast b
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,7 @@ from quartier.operators.grains import (
     with_months,
 )
 from quartier.operators.ranking import match, ranks_desc, top_ranks
+from quartier.plans.mart import Mart
 from quartier.session import cut_lineage
 
 # Labels of subtotal rows and flags (fixed values).
@@ -364,3 +366,18 @@ def potential_score(
         return report.orderBy(*order).limit(limit)
     # A global sort first samples its input, which here would run the whole scan and grouping a second time.
     return cut_lineage(report).orderBy(*order)
+
+
+# The reports with their default parameters.
+REPORTS: dict[str, Callable[[Mart], DataFrame]] = {
+    "q1": lambda m: rollup_state_year(m.performance_fact, m.location, m.calendar),
+    "q2": lambda m: cube_state_category_year(
+        m.performance_fact, m.location, m.calendar, m.business_category, m.category
+    ),
+    "q3": lambda m: rank_cities(m.performance_fact, m.location),
+    "q4": lambda m: top_gems(m.performance_fact, m.location),
+    "q5": lambda m: quarterly_growth(m.performance_fact, m.location, m.calendar),
+    "q6": lambda m: yoy_growth(m.performance_fact, m.location, m.calendar),
+    "q7": lambda m: top_categories(m.performance_fact, m.location, m.business_category, m.category),
+    "q8": lambda m: potential_score(m.performance_fact, m.location),
+}

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from quartier import testmart
 from quartier.operators import facts
@@ -14,21 +13,7 @@ from quartier.plans.mart import Store
 
 SF_DIR = "/root/testdata/sf0.001"
 
-REPORTS = {
-    "q1": lambda m: olap.rollup_state_year(m.performance_fact, m.location, m.calendar),
-    "q2": lambda m: olap.cube_state_category_year(
-        m.performance_fact, m.location, m.calendar, m.business_category, m.category
-    ),
-    "q3": lambda m: olap.rank_cities(m.performance_fact, m.location),
-    "q4": lambda m: olap.top_gems(m.performance_fact, m.location),
-    "q5": lambda m: olap.quarterly_growth(m.performance_fact, m.location, m.calendar),
-    "q6": lambda m: olap.yoy_growth(m.performance_fact, m.location, m.calendar),
-    "q7": lambda m: olap.top_categories(m.performance_fact, m.location, m.business_category, m.category),
-    "q8": lambda m: olap.potential_score(m.performance_fact, m.location),
-    "m1": summaries.state_years,
-    "m2": summaries.gems_by_city,
-    "m3": summaries.category_stats,
-}
+REPORTS = {**olap.REPORTS, **dict(zip(("m1", "m2", "m3"), summaries.SUMMARIES.values()))}
 
 
 @pytest.fixture(scope="module")
@@ -132,7 +117,7 @@ def test_unordered_windows_hold_slices_only(mart, whole):
 
 def test_fact_needs_one_shuffle_of_events(spark, mart):
     source = testmart.Inputs(spark, SF_DIR)
-    plan = _plan(facts.activity(source.reviews(), source.tips(), source.checkins().withColumn("x", F.lit(1))))
+    plan = _plan(facts.activity(source.reviews(), source.tips(), source.checkins()))
     assert plan.count("hashpartitioning(business_id, time_id") == 1 and "FullOuter" not in plan
 
 
