@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Doubles pass through this type before rounding or ranking: ten decimals hide the order-dependent noise of
-# floating sums, and decimal rounding is half-up on exact digits.
+# Doubles pass through this type before rounding: ten decimals hide the order-dependent noise of floating sums, and
+# decimal rounding is half-up on exact digits.
 _EXACT = "decimal(38,10)"
 
 
@@ -17,8 +17,11 @@ def half_up(value: Column, digits: int) -> Column:
 
 
 def rank_value(value: Column) -> Column:
-    """The form of a floating mean to rank on, so that equal means tie whatever order they were summed in."""
-    return value.cast(_EXACT)
+    """The form of a mean score to rank on, so that equal means tie whatever order they were summed in.
+
+    Eighteen digits are what Spark still keeps and compares as a long.
+    """
+    return value.cast("decimal(18,10)")
 
 
 def event_date(df: DataFrame, column: str) -> Column:

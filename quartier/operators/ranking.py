@@ -37,7 +37,7 @@ def ranks_desc(df: DataFrame, value: str, rank: str, by: list[str] | None = None
     values = (
         df.groupBy(*by, value)
         .agg(weight.alias("_count"))
-        .withColumn("_slice", F.floor(F.col(value) * 10**_SLICE_DECIMALS))
+        .withColumn("_slice", F.floor(F.col(value) * 10**_SLICE_DECIMALS).cast("long"))
     )
     slices = values.groupBy(*by, "_slice").agg(F.sum("_count").alias("_count"))
     slices = slices.select(
