@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quartier.functions import event_date, time_id
 
 KEYS = ["business_id", "time_id"]
+COUNTS = ["review_count", "tip_count", "checkin_count"]
 
 
 def with_time_id(events: DataFrame) -> DataFrame:
@@ -45,28 +46,26 @@ def activity(reviews: DataFrame, tips: DataFrame, checkins: DataFrame) -> DataFr
     The events are stacked and grouped together: one shuffle of map-side combined rows instead of three plus two
     sorted full joins. A business with a third of all events leaves each map task as at most one row per month.
     """
-    none = F.lit(0).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    no_stars = F.lit(None).cast("double")
 
-    def rows(events: DataFrame, *columns: str, **values: Column) -> DataFrame:
-        return _keyed(events, *columns).select(
+    def rows(events: DataFrame, review: Column, tip: Column, checkin: Column, stars: Column) -> DataFrame:
+        return events.select(
             *KEYS,
-            values.get("review", none).alias("review_count"),
-            values.get("tip", none).alias("tip_count"),
-            values.get("checkin", none).alias("checkin_count"),
-            values.get("stars", F.lit(None)).cast("double").alias("stars"),
+            review.alias("review_count"),
+            tip.alias("tip_count"),
+            checkin.alias("checkin_count"),
+            stars.alias("stars"),
         )
 
-    one = F.lit(1).cast("long")
+    identified = F.col("review_id").isNotNull().cast("long")
     stacked = (
-        rows(reviews, "review_id", "stars", review=F.col("review_id").isNotNull().cast("long"), stars=F.col("stars"))
-        .union(rows(tips, tip=one))
-        .union(rows(checkins, checkin=one))
+        rows(_keyed(reviews, "review_id", "stars"), identified, zero, zero, F.col("stars").cast("double"))
+        .union(rows(_keyed(tips), zero, one, zero, no_stars))
+        .union(rows(_keyed(checkins), zero, zero, one, no_stars))
     )
     return stacked.groupBy(*KEYS).agg(
-        F.sum("review_count").alias("review_count"),
-        F.sum("tip_count").alias("tip_count"),
-        F.sum("checkin_count").alias("checkin_count"),
-        F.avg("stars").alias("score_mean"),
+        *[F.sum(name).alias(name) for name in COUNTS], F.avg("stars").alias("score_mean")
     )
 
 
@@ -84,9 +83,6 @@ def attach_dims(merged: DataFrame, location: DataFrame, calendar: DataFrame) ->
     )
 
 
-COUNTS = ["review_count", "tip_count", "checkin_count"]
-
-
 def performance_fact(
     reviews: DataFrame, tips: DataFrame, checkins: DataFrame, location: DataFrame, calendar: DataFrame
 ) -> DataFrame:
