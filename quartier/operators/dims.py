@@ -47,8 +47,9 @@ def category_dim(business: DataFrame) -> DataFrame:
 def business_category(business: DataFrame, category: DataFrame) -> DataFrame:
     """Bridge rows for the categories found in the dimension.
 
-    The join carries no hint: the number of distinct names is not bounded, so Catalyst broadcasts the dimension only
-    below its size threshold, and otherwise the adaptive skew join splits a name that most businesses list.
+    Pass the dimension as a stored table. The join carries no hint, since the number of distinct names is not bounded:
+    Catalyst broadcasts a table below its size threshold, and for a larger one the adaptive skew join splits a name that
+    most businesses list, which it does only where both sides come straight from a shuffle.
     """
     return _tags(business).join(category, "category_name").select("business_id", "category_id")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quartier.operators import dims, facts
 from quartier.plans.mart import Mart
+from quartier.session import cut_lineage
 
 
 class Inputs:
@@ -122,7 +123,8 @@ class OrderMart:
 
     @cached_property
     def category(self) -> DataFrame:
-        return dims.category_dim(self._tagged)
+        """Kept as a table, as the jobs stage it before the bridge joins it."""
+        return cut_lineage(dims.category_dim(self._tagged))
 
     @cached_property
     def business_category(self) -> DataFrame:
