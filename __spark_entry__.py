@@ -7,6 +7,7 @@ counts, full outer joins and global windows rather than the plan shapes of the l
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,7 +170,22 @@ _NO_MINIMUM = olap.ScoreRule(gem_score=None)
 _TWO_STATES = ["ASIA", "EUROPE"]
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data subpackage, or nothing where it is not installed."""
+    try:
+        llm = importlib.import_module("quartier.llm.queries")
+    except ModuleNotFoundError as error:
+        if error.name not in ("quartier.llm", "quartier.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    return llm.QUERIES, llm.ORACLE_SQL
+
+
 def queries() -> dict[str, Query]:
+    return _library_queries() | _llm()[0]
+
+
+def _library_queries() -> dict[str, Query]:
     return {
         # Reports, and the variants that differ in labels, limits or filters.
         "q1_rollup_state_year": _on_mart(_rollup),
@@ -425,6 +441,10 @@ _DAY_TEXT = "strftime(day, '%Y-%m-%d %H:%M:%S') AS date"
 
 
 def oracle_sql() -> dict[str, str]:
+    return _library_sql() | _llm()[1]
+
+
+def _library_sql() -> dict[str, str]:
     return {
         "q1_rollup_state_year": _Q1,
         "q1_rollup_plain": _Q1_PLAIN,
