@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+from quartier.llm.sharding import interleave
+
+
+def test_shards_are_even_and_hold_the_mixture(spark):
+    rows = [(i, f"text {i}", "big" if i % 3 else None if i % 2 else f"s{i % 7}") for i in range(2003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = interleave(docs, shards=40).collect()
+    assert sorted(r.doc_id for r in got) == list(range(2003))
+    shards = defaultdict(list)
+    for r in got:
+        shards[r.shard].append(r)
+        assert r.size == len(f"text {r.doc_id}") + 16 and r.text_crc32 == zlib.crc32(f"text {r.doc_id}".encode())
+    sizes = [len(x) for x in shards.values()]
+    assert len(shards) == 40 and max(sizes) - min(sizes) <= 1
+    total = Counter(r.source for r in got)
+    for own in shards.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        here = Counter(r.source for r in own)
+        for source, n in total.items():
+            assert abs(here[source] - n * len(own) / 2003) <= 1 + len(total) / 2
+
+
+def test_equals_a_sort_of_all_rows(spark):
+    rows = [(i, None if i % 9 == 0 else "é" * (i % 4), f"s{i % 5 if i > 60 else 0}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    hashed = docs.selectExpr(
+        "doc_id", "source", "xxhash64(42, doc_id) AS h", "pmod(xxhash64(42, concat('=', source)), 1023) + 1 AS u"
+    ).collect()
+    by = defaultdict(list)
+    for r in hashed:
+        by[r.source, r.u].append(((r.h % 4096), r.h, r.doc_id))
+    order = []
+    for (source, u), own in by.items():
+        order += [((1024 * (k + 1) - u) / len(own), source, i) for k, (_, _, i) in enumerate(sorted(own))]
+    shard = {i: k * 7 // 300 for k, (_, _, i) in enumerate(sorted(order))}
+    assert {r.doc_id: r.shard for r in interleave(docs, shards=7).collect()} == shard
+
+
+def test_edge_rows(spark):
+    schema = "doc_id long, text string, source string, shard string, slot string, size string, _rank int"
+    assert interleave(spark.createDataFrame([], schema)).count() == 0
+    same = [(1, "a", "x", "?", "?", "?", 0)] * 5 + [(None, None, None, None, None, None, None)] * 3
+    got = interleave(spark.createDataFrame(same, schema), shards=4).collect()
+    assert len(got) == 8 and sorted(Counter(r.shard for r in got).values()) == [2, 2, 2, 2]
+    assert {r.size for r in got} == {17, 16}
