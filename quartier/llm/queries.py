@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartier.llm import sharding
+from quartier.llm import packing, prefixes, sharding, tokenfiles
+from quartier.session import scratch_path
+
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.interleave(_table(spark, sf_dir, "documents"), shards=40)
     return shards.select(
@@ -20,8 +28,23 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counts = prefixes.prefix_counts(docs, public_tokenizers.path(WORD_BPE), store=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=1)
+    return tokenfiles.digests(spark, path)
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
     "op5_sharding": op5_sharding,
+    "op6_token_counts": op6_token_counts,
+    "op10_token_files": op10_token_files,
 }
 
 #: SQL exists only where DuckDB can state the whole result.
