@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,6 +16,17 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 STEP_ROWS = 512
 
 
+def kept_by_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in each Python worker process: tasks that follow one another share it.
+
+    Only for what can be made again from ``key`` alone and is of bounded size.
+    """
+    kept = vars(sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")))
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def map_rows(df: DataFrame, schema: str, work: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
     """Rows that ``work()`` makes from each group of up to ``STEP_ROWS`` rows, given as one list per column.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartier.llm.arrow import map_rows
-from quartier.llm.encoding import PartEncoder
+from quartier.llm.encoding import task_encoder
 from quartier.session import cut_lineage
 
 WINDOW = 1024
@@ -40,7 +40,7 @@ def cut_documents(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def work():
-        encoder = PartEncoder(tokenizer)
+        encoder = task_encoder(tokenizer)
 
         def step(keys: list, texts: list) -> Iterator[tuple]:
             for key, ids in zip(keys, encoder.encode(texts)):

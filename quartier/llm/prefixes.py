@@ -17,8 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartier.llm.arrow import map_rows
-from quartier.llm.encoding import MEMO_PARTS, PartEncoder
+from quartier.llm.arrow import kept_by_worker, map_rows
+from quartier.llm.encoding import MEMO_PARTS, PartEncoder, byte_letters
 
 #: A part longer than this is not remembered; the counts along its pieces come from their own recurrence.
 LONG_PART = 64
@@ -126,9 +126,7 @@ class LongPiece:
         self.vocabulary = model["vocab"]
         self.longest = max(len(v.removesuffix(self.END)) for v in self.vocabulary)
         self.goes: dict[tuple[str, str], bool] = {}
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in visible]
-        self.letter = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.letter = {b: c for c, b in byte_letters().items()}
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.END):
@@ -181,7 +179,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str, store: bool = True, id_col: s
     """
 
     def work():
-        counter = PrefixCounter(tokenizer)
+        counter = kept_by_worker(("prefixes", tokenizer), lambda: PrefixCounter(tokenizer))
 
         def step(ids: list, texts: list) -> Iterator[tuple]:
             for key, text, changes in zip(ids, texts, counter.along(texts)):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartier.llm import packing, prefixes, sharding, tokenfiles
+from quartier.llm import packing, prefixes, quality, sharding, tokenfiles, toxicity
 from quartier.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -20,6 +20,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, F.size("passages").alias("n_passages"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.interleave(_table(spark, sf_dir, "documents"), shards=40)
     return shards.select(
@@ -42,6 +53,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_token_counts": op6_token_counts,
     "op10_token_files": op10_token_files,

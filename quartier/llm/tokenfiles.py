@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from quartier.llm.arrow import STEP_ROWS, map_rows
-from quartier.llm.encoding import PartEncoder, id_bytes
+from quartier.llm.encoding import PartEncoder, id_bytes, task_encoder
 
 #: Documents, and characters of each, that the dictionary is trained on; and its size in bytes.
 SAMPLE_DOCS = 1000
@@ -48,8 +48,12 @@ def _serialize(ids: bytes, width: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> bytes:
     """A dictionary from the ``SAMPLE_DOCS`` documents of least id hash; no bytes if they are too few to train on."""
+    hashes = docs.select(F.xxhash64(id_col).alias("h"))
+    last = hashes.orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return b""
     sample = docs.select(F.xxhash64(id_col).alias("h"), F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
-    texts = [r.t for r in sample.orderBy("h", "t").limit(SAMPLE_DOCS).collect()]
+    texts = [r.t for r in sample.where(F.col("h") <= last).orderBy("h", "t").limit(SAMPLE_DOCS).collect()]
     width, end = id_bytes(tokenizer), np.array([end_id], dtype="<u4").tobytes()
     samples = [_serialize(ids + end, width) for ids in PartEncoder(tokenizer).encode(texts)]
     try:
@@ -102,7 +106,7 @@ def write_token_files(
     arrow = to_arrow_schema(kind)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(tokenizer)
+        encoder = task_encoder(tokenizer)
         shared = zstandard.ZstdCompressionDict(content) if content else None
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_checksum=True).compress
         part, number, before, block = TaskContext.get().partitionId(), 0, 0, _Block()

@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import random
+import re
+
+from quartier.llm import quality
+from quartier.llm.words import WordHashes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text: str) -> tuple[int, ...]:
+    words = WORD.findall(text)
+    runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    covered = {i + k for i, run in enumerate(runs) if runs.count(run) > 1 for k in range(5)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    again = sum(line in lines[:i] for i, line in enumerate(lines))
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(covered)
+
+
+def some_texts() -> list[str | None]:
+    pick = random.Random(4)
+    parts = ["a", "b", "c ", " ", "\n", "é#", "x y", "\t", "\x1c", "the end.", "\r\n", "<b>", "a b c d e "]
+    return ["".join(pick.choices(parts, k=pick.randint(0, 60))) for _ in range(400)] + [None, "", "one two three four five"]
+
+
+def test_counts_against_brute_force():
+    hashes = WordHashes()
+    for text in some_texts():
+        assert quality.measure(text or "", hashes)[:5] == brute(text or "")
+
+
+def test_judge_keeps_prose_and_drops_junk(spark):
+    pick = random.Random(1)
+    vocabulary = ["".join(pick.choices("abcdefghilmnoprst", k=pick.randint(2, 9))) for _ in range(500)]
+
+    def prose(n: int) -> str:
+        return " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(pick.choices(vocabulary, k=n)))
+
+    rows = [(i, prose(80), "?", "?") for i in range(300)]
+    rows += [(1000 + i, " ".join(w + "$$$" for w in pick.choices(vocabulary, k=80)), "?", "?") for i in range(40)]
+    rows += [(2000 + i, prose(60).upper(), "?", "?") for i in range(40)]
+    rows += [(3000, None, "?", "?"), (3001, "", "?", "?"), (None, prose(50), "?", "?"), (3002, "one two", "?", "?")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_words string")
+    got = quality.judge(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert r.kept == (r.doc_id is None or r.doc_id < 1000), r
+    assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_posterior_equals_two_known_classes():
+    """On votes drawn from known chances, the posterior ranks patterns as the truth does."""
+    pick = random.Random(9)
+    counts: dict[tuple[int, ...], list[int]] = {}
+    for _ in range(20000):
+        good = pick.random() < 0.7
+        votes = tuple((1 if good == (pick.random() < 0.85) else -1) if pick.random() < 0.6 else 0 for _ in range(5))
+        counts.setdefault(votes, [0, 0])[good] += 1
+    found = quality.fit([(v, sum(c)) for v, c in counts.items()])
+    wrong = sum(min(c) if (found[v] >= 0.5) == (c[1] >= c[0]) else max(c) for v, c in counts.items())
+    assert wrong <= 1.05 * sum(min(c) for c in counts.values())
