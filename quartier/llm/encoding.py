@@ -21,6 +21,8 @@ MEMO_PARTS = 500_000
 #: What stands between the parts of a shared call, and in none of them, where white space is kept or dropped; it is one
 #: token. Parts that do hold it are put apart by the end-of-text string.
 _BETWEEN = {True: "\n\n", False: "0"}
+#: Fixed value: how byte-level vocabularies cut a text.
+_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -32,13 +34,24 @@ def byte_letters() -> dict[str, int]:
 
 
 def _same_merges(model: dict) -> tiktoken.Encoding | None:
-    """The same vocabulary for a library that is quicker on single words, if its ids are in the order of its merges."""
+    """The same vocabulary for a library that is quicker, if ids are in the order of merges, as that library needs.
+
+    It serves texts of Latin-1 characters without special strings: for these the two libraries give the same ids.
+    """
     letters = byte_letters()
     ranks = {bytes(map(letters.__getitem__, token)): i for token, i in model["vocab"].items()}
     merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
     if merged != sorted(merged) or len(ranks) != len(model["vocab"]):
         return None
-    return tiktoken.Encoding("words", pat_str=r" ?\p{L}+|[\s\S]", mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("same", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def task_encoder(path: str) -> PartEncoder:
@@ -73,16 +86,6 @@ class PartEncoder:
 
     def many(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, as they are after a space."""
-        if self.quick:
-            words = [p for p in parts if p.isalpha() and (p.isascii() or max(p) < "\u0250")]
-            encode = self.quick.encode_ordinary
-            known = {p: np.array(encode(" " + p), dtype="<u4").tobytes() for p in words}
-            rest = [p for p in parts if p not in known]
-            known.update(zip(rest, self._by_library(rest)))
-            return [known[p] for p in parts]
-        return self._by_library(parts)
-
-    def _by_library(self, parts: list[str]) -> list[bytes]:
         lead = " " if self.keeps_spaces else ""
         plain = [p for p in parts if 0 < len(p) < 256 and "<|" not in p]
         if self.keeps_spaces:
@@ -122,15 +125,24 @@ class PartEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null counts as empty."""
         shown = [text or "" for text in texts]
+        if not self.quick:
+            return self._by_parts(shown)
+        plain = {k for k, text in enumerate(shown) if _is_latin(text) and "<|" not in text}
+        rest = [k for k in range(len(shown)) if k not in plain]
+        others = dict(zip(rest, self._by_parts([shown[k] for k in rest])))
+        ids = self.quick.encode_to_numpy
+        return [ids(t).astype("<u4").tobytes() if k in plain else others[k] for k, t in enumerate(shown)]
+
+    def _by_parts(self, shown: list[str]) -> list[bytes]:
         split = [(text if self.keeps_spaces else text.replace("\n", " ")).split(" ") for text in shown]
         self._learn(split)
         if not self.keeps_spaces:
             return [b"".join([self.memo[p] for p in parts]) for parts in split]
         out = []
-        for text, parts in zip(texts, split):
+        for text, parts in zip(shown, split):
             ids = [self.memo[p] for p in parts[1:]]
             if not parts[0] or None in ids:
-                out.append(self._spaced(text or ""))
+                out.append(self._spaced(text))
             else:
                 if parts[0] not in self.first:
                     if len(self.first) >= MEMO_PARTS:

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartier.llm import packing, prefixes, quality, sharding, tokenfiles, toxicity
+import corpus_pipeline
+from quartier.llm import language, neardup, packing, prefixes, quality, sharding, tokenfiles, toxicity
 from quartier.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -20,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages: only pages declare a language in markup and have addresses, so each table has its evidence."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs)
+    none, key = F.lit(None).cast("long"), F.col("key")
+    told = ["lang", "posterior", "text_lang", "declared", F.col("accepted").alias("kept")]
+    of_docs = language.identify_documents(docs, model).select(key.alias("doc_id"), none.alias("page_id"), *told)
+    pages = language.identify_pages(_table(spark, sf_dir, "pages"), model)
+    return of_docs.union(pages.select(none.alias("doc_id"), key.alias("page_id"), *told))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=1)
@@ -53,11 +69,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_neardup": op2_neardup,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_token_counts": op6_token_counts,
+    "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: SQL exists only where DuckDB can state the whole result.

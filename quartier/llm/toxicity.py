@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +29,7 @@ from quartier.session import cut_lineage
 TRAIN_ROWS = 40_000
 MODEL_WORDS = 20_000
 #: Standard errors from zero at which a word's log-odds count; weight of all other words.
-CLEAR = 4.0
+CLEAR = 3.5
 OTHER = -0.5
 #: A passage is reported if it is expected by chance less than this often in the text.
 SIGNIFICANT = 0.05
@@ -89,8 +89,11 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * evidence + self.level))))
 
 
-def log_odds(counts: dict[bytes, tuple[int, int]], prior: float = 0.01) -> dict[bytes, float]:
-    """Weights of the words whose log-odds between the classes (other, toxic) are clear, the clearest ``MODEL_WORDS``."""
+def log_odds(counts: dict[bytes, tuple[int, int]], prior: float = 0.05) -> dict[bytes, float]:
+    """Weights of the words whose log-odds between the classes (other, toxic) are clear, the clearest ``MODEL_WORDS``.
+
+    Counts are of texts that hold the word, so one text that repeats a word is one case.
+    """
     total = [sum(c[k] for c in counts.values()) for k in (0, 1)]
     mass = prior * sum(total)
     clear = []
@@ -145,12 +148,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents, those of least id hash. A document is toxic if any label says so."""
+    """(text, toxic) of at most ``rows`` labelled documents, those of least id hash.
+
+    A document is toxic if any label says so. Copies of one text count once.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64(id_col)).limit(rows)
     # Bounded by ``rows`` two-number rows.
     texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    return texts.join(F.broadcast(known), id_col).select(F.col("_text").cast("string"), F.col("_toxic").cast("int"))
+    return texts.join(F.broadcast(known), id_col).groupBy(F.col("_text").cast("string")).agg(F.max("_toxic").cast("int"))
 
 
 def fit(
@@ -163,7 +169,7 @@ def fit(
         def step(texts: list, toxic: list) -> Iterator[tuple]:
             counts: list[Counter] = [Counter(), Counter()]
             for text, label in zip(texts, toxic):
-                counts[int(label == 1)].update(words(text))
+                counts[int(label == 1)].update(set(words(text)))
             for word in counts[0].keys() | counts[1].keys():
                 yield word, counts[0][word], counts[1][word]
 
@@ -198,9 +204,13 @@ def fit(
     return Model(weights, model.rate, k, slope, level)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = (),
+) -> DataFrame:
     """(doc_id, score, passages) of every row of ``docs``; a passage is (first word, end word, score, expected).
 
+    The columns of ``docs`` named in ``keep`` come along.
+
     ``score`` is the probability of the label. Passages are the significant ones. Null and empty texts have none and get
     the score of no evidence. Repeated rows stay, each scored alike; further columns are not looked at.
     """
@@ -217,4 +227,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return step
 
     schema = "doc_id long, score double, passages array<struct<first: long, end: long, score: double, expected: double>>"
-    return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), schema, work)
+    return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *keep), schema, work, keep)
