@@ -103,17 +103,17 @@ class PartEncoder:
 
     def _learn(self, split: list[list[str]]) -> None:
         met = set().union(*split)
-        new = met - self.memo.keys()
+        new = [p for p in met if p not in self.memo]
         if len(self.memo) + len(new) > MEMO_PARTS:  # short parts come most often
             self.memo = {p: ids for p, ids in self.memo.items() if len(p) < 8}
-            new = met - self.memo.keys()
+            new = [p for p in met if p not in self.memo]
         if self.keeps_spaces:  # what begins with white space depends on the part before it
             self.memo.update((p, None) for p in new if not p or p[0].isspace())
             new = [p for p in new if p and not p[0].isspace()]
         # A full stop or comma after a Latin letter is a piece of its own in both vocabularies.
         stopped = [p for p in new if p[-1:] in self.stops and "A" <= p[-2:-1] < "\u0250" and p[-2].isalpha()]
         core = {p: p[:-1] for p in stopped}
-        new = list({core.get(p, p) for p in new} - self.memo.keys())
+        new = [p for p in {core.get(p, p) for p in new} if p not in self.memo]
         self.memo.update(zip(new, self.many(new)))
         self.memo.update((p, self.memo[core[p]] + self.stops[p[-1]]) for p in stopped)
 

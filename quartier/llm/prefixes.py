@@ -40,18 +40,19 @@ class PrefixCounter:
         self.changes: dict[str, bytes] = {"": b""}
 
     def _learn(self, parts: set[str]) -> None:
-        new = parts - self.changes.keys()
+        new = {p for p in parts if p not in self.changes}
         if len(self.changes) + len(new) > MEMO_PARTS // 2:  # short ones come most often
             self.changes = {p: b for p, b in self.changes.items() if len(p) < 8}
-            new = parts - self.changes.keys()
+            new = {p for p in parts if p not in self.changes}
         if len(self.counts) > 2 * MEMO_PARTS:
             self.counts = {p: n for p, n in self.counts.items() if len(p) < 8}
         # A full stop or comma after a Latin letter is one more token.
         stopped = [p for p in new if p[-1] in ".," and "A" <= p[-2:-1] < "\u0250" and p[-2].isalpha() and len(p) <= LONG_PART]
-        new = {p[:-1] for p in stopped}.union(new.difference(stopped)) - self.changes.keys()
+        new = {p[:-1] for p in stopped}.union(new.difference(stopped))
+        new = {p for p in new if p not in self.changes}
         short = [p for p in new if len(p) <= LONG_PART]
         prefixes = {p[:i] for p in short for i in range(1, len(p) + 1)}
-        unknown = list(prefixes - self.counts.keys())
+        unknown = [p for p in prefixes if p not in self.counts]
         self.counts.update(zip(unknown, (len(ids) // 4 for ids in self.encoder.many(unknown))))
         count = self.counts
         # All parts' counts in one row, each from the 0 before its first character; differences across parts are not read.

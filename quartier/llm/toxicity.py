@@ -80,7 +80,7 @@ class Model:
         return self.k * max(n, 1) * math.exp(-min(self.rate * score, 700.0))
 
     def passages(self, own: list[bytes]) -> list[tuple[int, int, float]]:
-        if not self.weights.keys() & set(own):
+        if self.weights.keys().isdisjoint(own):
             return []
         weight = self.weights.get
         return segments(np.array([weight(w, OTHER) for w in own]))
@@ -116,11 +116,11 @@ def chance_rate(weights: dict[bytes, float], others: dict[bytes, int]) -> float:
     if not (s > 0).any() or p @ s >= 0:
         return 1.0
     low, high = 0.0, 1.0
-    while p @ np.exp(high * s) < 1 and high < 1e3:
+    while p @ np.exp(np.minimum(high * s, 700.0)) < 1 and high < 1e3:
         high *= 2
     for _ in range(80):
         middle = (low + high) / 2
-        low, high = (middle, high) if p @ np.exp(middle * s) < 1 else (low, middle)
+        low, high = (middle, high) if p @ np.exp(np.minimum(middle * s, 700.0)) < 1 else (low, middle)
     return high
 
 

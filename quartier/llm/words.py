@@ -37,8 +37,9 @@ class WordHashes:
         except KeyError:
             if len(self.memo) > MEMO_WORDS:
                 self.memo.clear()
-            new = set(words) - self.memo.keys()
-            self.memo.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+            for word in words:
+                if word not in self.memo:
+                    self.memo[word] = xxhash.xxh3_64_intdigest(word)
             return np.array([self.memo[w] for w in words], dtype=np.uint64)
 
 
