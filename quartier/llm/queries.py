@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quartier.llm import language, neardup, packing, prefixes, quality, sharding, tokenfiles, toxicity
+from quartier.llm import language, neardup, packing, prefixes, quality, sharding, tokenfiles, toxicity, vectors
 from quartier.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -50,6 +50,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return vectors.neighbours(table, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages: only pages declare a language in markup and have addresses, so each table has its evidence."""
     docs = _table(spark, sf_dir, "documents")
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_token_counts": op6_token_counts,
+    "op7_neighbours": op7_neighbours,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
     "pipeline": corpus_pipeline.run,
