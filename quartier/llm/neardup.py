@@ -12,8 +12,8 @@ bound and the order is the same for all), hence inverted lists are kept for rare
 documents share open none.
 
 Overlaps within a list. Emitting all pairs of a list would be quadratic in a group of copies. First each list has its members
-meet one pivot, picked at random for each list, so a member meets some dozens of pivots. Linked members are joined to
-components. Then members of one list in different components meet each other, which leaves no candidate out: pairs in one
+meet two pivots: the one whose retained values are most common altogether, which in a group of edited copies is the original,
+and one picked at random for each list. Linked members are joined to components. Then members of one list in different components meet each other, which leaves no candidate out: pairs in one
 component cannot change any component.
 
 Pairs are filtered by the estimate from the union's sketch, and verified by the similarity of the full sets.
@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartier.llm.arrow import kept_by_worker, map_rows
@@ -38,6 +38,8 @@ SKETCH = 128
 DEVIATIONS = 5.0
 #: Classes in which retained values are counted for the order of rarity.
 RARITY = 1 << 18
+#: Pivots that a class is verified against before its lists are looked through.
+TRIED = 3
 
 
 def shingle_set(text: str | None, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
@@ -68,16 +70,17 @@ def similar_enough(common: int, a: int, b: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
 
-def maybe_similar(a: bytes, b: bytes, n_a: int, n_b: int, percent: int, sketch: int = SKETCH) -> bool:
-    """Whether the union's sketch leaves the similarity open; exact where both sketches are whole sets."""
+def maybe_similar(a: bytes, b: bytes, n_a: int, n_b: int, percent: int, sketch: int = SKETCH) -> float | None:
+    """The similarity in the union's sketch, unless it rules a link out; exact where both sketches are whole sets."""
     left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     both = np.intersect1d(left, right, assume_unique=True)
     if n_a <= sketch and n_b <= sketch:
-        return similar_enough(len(both), n_a, n_b, percent)
+        return len(both) / (n_a + n_b - len(both)) if similar_enough(len(both), n_a, n_b, percent) else None
     union = np.union1d(left, right)[:sketch]
     found = int(np.searchsorted(both, union[-1], side="right")) if len(union) else 0
     most = 100 * min(n_a, n_b) / percent  # the union of a similar pair is no larger
-    return found >= percent / 100 * len(union) - DEVIATIONS * float(_deviation(len(union), max(most, 1.0), percent))
+    least = percent / 100 * len(union) - DEVIATIONS * float(_deviation(len(union), max(most, 1.0), percent))
+    return found / len(union) if found >= least else None
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -117,23 +120,30 @@ def _rarity(classes: DataFrame) -> np.ndarray:
 
 
 def _lists(classes: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
-    """(value, cid, n): each class in the inverted lists of its rarest retained values."""
+    """(value, cid, n, common): each class in the inverted lists of its rarest retained values.
+
+    ``common`` says how common its retained values are altogether: in a group of edited copies, the original has most.
+    """
     rank = np.unique(rarity, return_inverse=True)[1].astype(np.int32)
+    weight = np.log1p(rarity)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 cids, sizes, raw = (c.to_pylist() for c in batch.slice(start, 2048).columns)
-                values, counts = [], []
+                values, counts, common = [], [], []
                 for n, sketch in zip(sizes, raw):
                     own = np.frombuffer(sketch, np.uint64)
-                    first = np.lexsort((own, rank[(own % np.uint64(RARITY)).astype(np.int64)]))
+                    place = (own % np.uint64(RARITY)).astype(np.int64)
+                    common.append(weight[place].mean())
+                    first = np.lexsort((own, rank[place]))
                     values.append(own[first[: len(own) - shared_at_least(n, percent) + 1]])
                     counts.append(len(values[-1]))
                 columns = [np.concatenate(values).view(np.int64), np.repeat(cids, counts), np.repeat(sizes, counts)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["value", "cid", "n"])
+                arrays = [*(pa.array(c, pa.int64()) for c in columns), pa.array(np.repeat(common, counts))]
+                yield pa.RecordBatch.from_arrays(arrays, ["value", "cid", "n", "common"])
 
-    return classes.select("cid", "n", "sketch").mapInArrow(expand, "value long, cid long, n long")
+    return classes.select("cid", "n", "sketch").mapInArrow(expand, "value long, cid long, n long, common double")
 
 
 def _near_sizes(a: str, b: str, percent: int) -> Column:
@@ -141,19 +151,21 @@ def _near_sizes(a: str, b: str, percent: int) -> Column:
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) whose sketches leave the link open."""
+    """Pairs (a, b, n_a, n_b, estimate) whose sketches leave the link open."""
     own = classes.select("cid", "sketch")
     joined = pairs.join(own.toDF("a", "sketch_a"), "a").join(own.toDF("b", "sketch_b"), "b")
 
     def work():
         def step(a: list, b: list, n_a: list, n_b: list, left: list, right: list) -> Iterator[tuple]:
             for row in zip(a, b, n_a, n_b, left, right):
-                if maybe_similar(row[4], row[5], row[2], row[3], percent):
-                    yield row[:4]
+                estimate = maybe_similar(row[4], row[5], row[2], row[3], percent)
+                if estimate is not None:
+                    yield *row[:4], estimate
 
         return step
 
-    return map_rows(joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"), "a long, b long, n_a long, n_b long", work)
+    columns = joined.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    return map_rows(columns, "a long, b long, n_a long, n_b long, estimate double", work)
 
 
 def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
@@ -228,16 +240,17 @@ def classes_and_links(
         return cut_lineage(map_rows(joined, "cid long, set binary", work).dropDuplicates(["cid"]))
 
     lists = _lists(classes, _rarity(classes), percent)
-    pick = F.min_by(F.struct("cid", "n"), F.xxhash64("value", "cid"))
-    heads = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), pick.alias("pivot")).where("members > 1")
-    lists = cut_lineage(lists.join(heads.select("value", "pivot"), "value"))
-
-    pivots = lists.where("cid <> pivot.cid").where(_near_sizes("n", "pivot.n", percent))
-    first = pivots.select(F.col("cid").alias("a"), F.col("pivot.cid").alias("b"), F.col("n").alias("n_a"), F.col("pivot.n").alias("n_b"))
-    met = cut_lineage(_filtered(first.distinct(), classes, percent))
-    # One pair for each class is enough to join most; the rest meets again below where it still matters.
-    near = F.min_by(F.struct("b", "n_a", "n_b"), F.abs(F.col("n_a") - F.col("n_b")) * 2**32 + F.pmod(F.xxhash64("b"), F.lit(2**31)))
-    best = met.groupBy("a").agg(near.alias("p")).select("a", "p.b", "p.n_a", "p.n_b")
+    own = F.struct("cid", "n")
+    hub, other = F.max_by(own, F.struct("common", "cid")), F.min_by(own, F.xxhash64("value", "cid"))
+    heads = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.array(hub, other).alias("pivots"))
+    lists = cut_lineage(lists.drop("common").join(heads.where("members > 1").drop("members"), "value"))
+
+    first = lists.select("cid", "n", F.explode("pivots").alias("p")).where("cid <> p.cid").where(_near_sizes("n", "p.n", percent))
+    first = first.select(F.col("cid").alias("a"), F.col("p.cid").alias("b"), F.col("n").alias("n_a"), F.col("p.n").alias("n_b"))
+    met = _filtered(first.distinct(), classes, percent)
+    # Each class's likeliest links join most of them; what stays apart meets again below.
+    order = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("estimate"), "b"))
+    best = cut_lineage(met.withColumn("_order", order).where(F.col("_order") <= TRIED))
     links = cut_lineage(_verified(best, texts, percent))
     labels = components(links)
 

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quartier.llm import language, neardup, packing, prefixes, quality, sharding, tokenfiles, toxicity, vectors
+from quartier.llm import language, neardup, packing, pieces, prefixes, quality, sharding, tokenfiles, toxicity, vectors
 from quartier.session import scratch_path
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.neighbours(table, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_BPE)
+    return pieces.digests(pieces.encode(_table(spark, sf_dir, "documents"), model), model)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages: only pages declare a language in markup and have addresses, so each table has its evidence."""
     docs = _table(spark, sf_dir, "documents")
@@ -80,6 +85,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_token_counts": op6_token_counts,
     "op7_neighbours": op7_neighbours,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
     "pipeline": corpus_pipeline.run,

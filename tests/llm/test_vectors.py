@@ -24,7 +24,7 @@ def table(spark, rows, more=()):
 
 def test_recall_and_scores(spark):
     random = np.random.default_rng(2)
-    rows = {i: random.normal(size=24).astype(np.float32).astype(float) * (1 + i % 3) for i in range(1500)}
+    rows = {i: (random.normal(size=24) * (1 + i % 3)).astype(np.float32).astype(float) for i in range(1500)}
     got = vectors.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=10).collect()
     want = exact(rows, [i for i in rows if i % 20 == 0], 10)
     found = {(r.query_id, r.vec_id) for r in got}
