@@ -63,6 +63,51 @@ def id_bytes(path: str) -> int:
     return 2 if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
+class LatinWords:
+    """Ids of single words of Latin-1 letters in a vocabulary with word ends, by the quicker library.
+
+    That library merges bytes, so a word's last byte, which is a symbol of its own here, is written as another byte: a letter
+    as its capital (words are in lower case), a continuation byte as its low six bits.
+    """
+
+    END = "</w>"
+    INNER = bytes([*range(97, 123), 0xC3, *range(0x80, 0xC0)])
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.last = {b: bytes([b - 32 if b < 128 else b & 0x3F]) for b in self.INNER if b != 0xC3}
+        spare = 1 << 20
+        whole = {bytes([b]): spare + b for b in range(256)} | ranks
+        coding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=whole, special_tokens={})
+        self.merge = coding._encode_single_piece
+
+    @classmethod
+    def of(cls, model: dict) -> LatinWords | None:
+        """None if ids are not in the order of merges."""
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            return None
+        letters, ranks = byte_letters(), {}
+        for token, i in model["vocab"].items():
+            plain = token.removesuffix(cls.END)
+            raw = bytes(letters.get(c, 0) for c in plain)
+            if raw and not raw.translate(None, cls.INNER):
+                if plain != token:
+                    if raw[-1] == 0xC3:
+                        continue
+                    raw = raw[:-1] + bytes([raw[-1] - 32 if raw[-1] < 128 else raw[-1] & 0x3F])
+                ranks[raw] = i
+        return cls(ranks)
+
+    def ids(self, part: str) -> list[int] | None:
+        """The word's ids, or None for a part that is not such a word."""
+        if not part.isalpha() or len(part) > 200:
+            return None
+        raw = part.lower().encode()
+        if raw.translate(None, self.INNER):
+            return None
+        return self.merge(raw[:-1] + self.last[raw[-1]])
+
+
 class PartEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; special strings are read as the library does by default."""
 
@@ -71,6 +116,7 @@ class PartEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.keeps_spaces = spec["pre_tokenizer"]["type"] == "ByteLevel"
+        self.word = None if self.keeps_spaces else LatinWords.of(spec["model"])
         self.quick = _same_merges(spec["model"]) if self.keeps_spaces else None
         self.between = [(b, int(self._array(b)[0])) for b in (_BETWEEN[self.keeps_spaces], "<|endoftext|>")]
         self.stops = {p: self._ids(p) for p in ".,"}
@@ -86,6 +132,21 @@ class PartEncoder:
 
     def many(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, as they are after a space."""
+        if self.word:
+            found = [self.word.ids(p) for p in parts]
+            rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
+            return [next(rest) if ids is None else np.array(ids, dtype="<u4").tobytes() for ids in found]
+        return self._by_library(parts)
+
+    def counts(self, parts: list[str]) -> list[int]:
+        """How many ids each part has."""
+        if not self.word:
+            return [len(ids) // 4 for ids in self.many(parts)]
+        found = [self.word.ids(p) for p in parts]
+        rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
+        return [len(next(rest)) // 4 if ids is None else len(ids) for ids in found]
+
+    def _by_library(self, parts: list[str]) -> list[bytes]:
         lead = " " if self.keeps_spaces else ""
         plain = [p for p in parts if 0 < len(p) < 256 and "<|" not in p]
         if self.keeps_spaces:

@@ -53,7 +53,7 @@ class PrefixCounter:
         short = [p for p in new if len(p) <= LONG_PART]
         prefixes = {p[:i] for p in short for i in range(1, len(p) + 1)}
         unknown = [p for p in prefixes if p not in self.counts]
-        self.counts.update(zip(unknown, (len(ids) // 4 for ids in self.encoder.many(unknown))))
+        self.counts.update(zip(unknown, self.encoder.counts(unknown)))
         count = self.counts
         # All parts' counts in one row, each from the 0 before its first character; differences across parts are not read.
         flat = [count[p[:i]] for p in short for i in range(len(p) + 1)]
