@@ -78,7 +78,7 @@ class LatinWords:
         spare = 1 << 20
         whole = {bytes([b]): spare + b for b in range(256)} | ranks
         coding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=whole, special_tokens={})
-        self.merge = coding._encode_single_piece
+        self.merge = coding._core_bpe.encode_single_piece
 
     @classmethod
     def of(cls, model: dict) -> LatinWords | None:

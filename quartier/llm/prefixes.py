@@ -51,10 +51,14 @@ class PrefixCounter:
         new = {p[:-1] for p in stopped}.union(new.difference(stopped))
         new = {p for p in new if p not in self.changes}
         short = [p for p in new if len(p) <= LONG_PART]
-        prefixes = {p[:i] for p in short for i in range(1, len(p) + 1)}
-        unknown = [p for p in prefixes if p not in self.counts]
-        self.counts.update(zip(unknown, self.encoder.counts(unknown)))
-        count = self.counts
+        count, unknown = self.counts, []
+        for p in short:  # where a prefix is known, so are those before it
+            prefix = p
+            while prefix not in count:
+                count[prefix] = 0
+                unknown.append(prefix)
+                prefix = prefix[:-1]
+        count.update(zip(unknown, self.encoder.counts(unknown)))
         # All parts' counts in one row, each from the 0 before its first character; differences across parts are not read.
         flat = [count[p[:i]] for p in short for i in range(len(p) + 1)]
         raw = np.diff(np.array(flat, dtype="<i2")).tobytes()
