@@ -98,6 +98,8 @@ def log_odds(counts: dict[bytes, tuple[int, int]], prior: float = 0.05) -> dict[
     mass = prior * sum(total)
     clear = []
     for word, (other, toxic) in counts.items():
+        if not other + toxic:
+            continue
         alpha = mass * (other + toxic) / sum(total)
         mine, theirs = toxic + alpha * total[1] / sum(total), other + alpha * total[0] / sum(total)
         odds = math.log(mine / (total[1] + mass - mine)) - math.log(theirs / (total[0] + mass - theirs))
