@@ -36,6 +36,8 @@ def map_rows(
     can be named in ``keep``: then one row must be made of each, and these columns follow it as they are; of made columns
     with their names they take the place.
     """
+    # Arrow batches as small as the steps: with Spark's default a batch of long texts would take much of an executor.
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", STEP_ROWS)
     made = _parse_datatype_string(schema)
     assert isinstance(made, StructType)
     arrow = to_arrow_schema(made)

@@ -14,7 +14,7 @@ documents share open none.
 Overlaps within a list. Emitting all pairs of a list would be quadratic in a group of copies. First each list has its members
 meet two pivots: the one whose retained values are most common altogether, which in a group of edited copies is the original,
 and one picked at random for each list. Linked members are joined to components. Then members of one list in different components meet each other, which leaves no candidate out: pairs in one
-component cannot change any component.
+component cannot change any component. In long lists this is done in tiles, which report only pairs that may be linked.
 
 Pairs are filtered by the estimate from the union's sketch, and verified by the similarity of the full sets.
 """
@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ DEVIATIONS = 5.0
 RARITY = 1 << 18
 #: Pivots that a class is verified against before its lists are looked through.
 TRIED = 3
+#: Lists of more members than this are worked on in tiles of about so many.
+SHORT = 48
+TILE = 512
 
 
 def shingle_set(text: str | None, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
@@ -254,16 +258,66 @@ def classes_and_links(
     links = cut_lineage(_verified(best, texts, percent))
     labels = components(links)
 
-    told = cut_lineage(_labelled(lists.select("value", "cid", "n"), labels))
-    open_lists = told.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("value")
-    told = told.join(open_lists, "value", "left_semi")
-    left, right = _sides(told)
+    told = _labelled(lists.select("value", "cid", "n"), labels)
+    opened = told.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+    told = cut_lineage(told.join(opened.where("x < y").select("value", "m"), "value"))
+    left, right = _sides(told.where(F.col("m") <= SHORT))
     pairs = left.join(right, "value").where("comp_a < comp_b").where(_near_sizes("n_a", "n_b", percent))
-    rest = cut_lineage(_filtered(pairs.select("a", "b", "n_a", "n_b").distinct(), classes, percent))
+    of_short = _filtered(pairs.select("a", "b", "n_a", "n_b").distinct(), classes, percent)
+    of_long = _long_lists(told.where(F.col("m") > SHORT), classes, percent)
+    rest = cut_lineage(of_short.union(of_long).groupBy("a", "b", "n_a", "n_b").agg(F.max("estimate").alias("estimate")))
     more = cut_lineage(_verified(rest, texts, percent))
     return rows, classes, components(links.union(more))
 
 
+def _long_lists(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b, estimate) of long lists whose sketches leave a link open, without a row for any other pair.
+
+    A list's members are dealt into tiles, and two tiles meet in one task, which counts shared values of all their pairs by
+    products of indicator matrices. A pair is reported by one list only: that of the least value both are listed under.
+    """
+    listed = lists.groupBy("cid").agg(F.collect_set("value").alias("listed"))  # as many as a sketch has values, at most
+    rows = lists.join(listed, "cid").join(classes.select("cid", "sketch"), "cid")
+    tiles = F.ceil(F.col("m") / TILE)
+    rows = rows.withColumn("t", F.pmod(F.xxhash64("cid"), tiles))
+    other = F.sequence(F.lit(0).cast("long"), tiles - 1)
+    rows = rows.withColumn("u", F.explode(other)).withColumns({"lo": F.least("t", "u"), "hi": F.greatest("t", "u")})
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        value, same = int(group["value"].iloc[0]), group["lo"].iloc[0] == group["hi"].iloc[0]
+        group = group.reset_index(drop=True)
+        first = group.index[group["t"] == group["lo"]].to_numpy()
+        second = first if same else group.index[group["t"] == group["hi"]].to_numpy()
+        cids, sizes, comps = (group[c].to_numpy() for c in ("cid", "n", "comp"))
+        least = np.array([shared_at_least(int(n), percent) for n in sizes])
+        owner = np.repeat(np.arange(len(group)), [len(b) // 8 for b in group["sketch"]])
+        values, code = np.unique(np.frombuffer(b"".join(group["sketch"]), np.uint64), return_inverse=True)
+        shared = np.zeros((len(first), len(second)), dtype=np.float32)
+        for start in range(0, len(values), 4096):
+            here = (code >= start) & (code < start + 4096)
+            block = np.zeros((len(group), 4096), dtype=np.float32)
+            block[owner[here], code[here] - start] = 1
+            shared += block[first] @ block[second].T
+        x, y = np.nonzero(shared >= np.maximum(least[first][:, None], least[second][None, :]))
+        out = []
+        for p, q in zip(first[x].tolist(), second[y].tolist()):
+            small, large = sorted((int(sizes[p]), int(sizes[q])))
+            if comps[p] == comps[q] or same and cids[p] >= cids[q] or 100 * small < percent * large:
+                continue
+            if min(set(group["listed"][p]) & set(group["listed"][q])) != value:
+                continue
+            p, q = (p, q) if cids[p] < cids[q] else (q, p)
+            row = group["sketch"][p], group["sketch"][q], int(sizes[p]), int(sizes[q])
+            estimate = maybe_similar(*row, percent)
+            if estimate is not None:
+                out.append((int(cids[p]), int(cids[q]), *row[2:], estimate))
+        return pd.DataFrame(out, columns=["a", "b", "n_a", "n_b", "estimate"])
+
+    columns = rows.select("value", "lo", "hi", "t", "cid", "n", "comp", "listed", "sketch")
+    schema = "a long, b long, n_a long, n_b long, estimate double"
+    return columns.groupBy("value", "lo", "hi").applyInPandas(meet, schema)
+
+
 def _sides(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     sides = []
     for end in ("a", "b"):
