@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from quartier.llm import neardup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,7 +65,10 @@ def corpus(seed: int = 3) -> dict[int, str | None]:
     return dict(enumerate(out))
 
 
-def test_equals_all_pairs(spark):
+@pytest.mark.parametrize("short, tile", [(48, 512), (2, 8)])
+def test_equals_all_pairs(spark, monkeypatch, short, tile):
+    monkeypatch.setattr(neardup, "SHORT", short)
+    monkeypatch.setattr(neardup, "TILE", tile)
     texts = corpus()
     docs = spark.createDataFrame([(i, t, "?", "?", "?") for i, t in texts.items()], "doc_id long, text string, n string, cid string, kept string")
     got = {r.doc_id: r for r in neardup.near_duplicates(docs.repartition(4)).collect()}
