@@ -43,7 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     add("summaries", "recompute the summary tables")
     report = add("report", "show a report")
     report.add_argument("name", choices=sorted(olap.REPORTS))
-    report.add_argument("--rows", type=int, default=20)
+    report.add_argument("--rows", type=int, default=20, help="rows shown")
+    report.add_argument("--output", help="folder that all rows are written to, as Parquet")
     return parser
 
 
@@ -72,7 +73,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "summaries":
         summaries.refresh_all(store.mart(), store)
     elif args.job == "report":
-        olap.REPORTS[args.name](store.mart()).show(args.rows, truncate=False)
+        rows = olap.REPORTS[args.name](store.mart())
+        if args.output:
+            rows.write.mode("overwrite").parquet(args.output)
+            rows = spark.read.parquet(args.output)
+        count = rows.count()
+        rows.show(args.rows, truncate=False)
+        print(f"{min(args.rows, count)} of {count} rows shown")
 
 
 if __name__ == "__main__":

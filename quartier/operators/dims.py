@@ -16,11 +16,13 @@ def split_dates(df: DataFrame) -> DataFrame:
 
 
 def business_dim(business: DataFrame) -> DataFrame:
+    # Fixed: the columns of the business table.
     return business.select("business_id", "name", "stars", "is_open", "attributes")
 
 
 def location_dim(business: DataFrame) -> DataFrame:
     """One location per business, not per place."""
+    # Fixed: the columns of the location table.
     return business.select(
         "business_id",
         "address",
@@ -44,14 +46,13 @@ def category_dim(business: DataFrame) -> DataFrame:
     return names.withColumn("category_id", surrogate_key("category_name"))
 
 
-def business_category(business: DataFrame, category: DataFrame) -> DataFrame:
-    """Bridge rows for the categories found in the dimension.
+def business_category(business: DataFrame, category: DataFrame | None = None) -> DataFrame:
+    """Bridge rows. A category's key follows from its name, so no join is needed, whatever name most businesses list.
 
-    Pass the dimension as a stored table. The join carries no hint, since the number of distinct names is not bounded:
-    Catalyst broadcasts a table below its size threshold, and for a larger one the adaptive skew join splits a name that
-    most businesses list, which it does only where both sides come straight from a shuffle.
+    Given a dimension from elsewhere, only pairs with a category in it are kept.
     """
-    return _tags(business).join(category, "category_name").select("business_id", "category_id")
+    bridge = _tags(business).select("business_id", surrogate_key("category_name").alias("category_id"))
+    return bridge if category is None else bridge.join(category.select("category_id"), "category_id", "left_semi")
 
 
 def month_dim(events: DataFrame, column: str) -> DataFrame:

@@ -53,11 +53,11 @@ def top_ranks(df: DataFrame, descending: str, ascending: str, k: int, rank: str)
     """Rows whose RANK by (``descending`` high first, ``ascending`` low first) is at most ``k``, ties included.
 
     At most k distinct value pairs can reach rank k, so the pairs are counted and the first k of them ranked; those k
-    rows are broadcast to pick the rows. However many rows tie, they stay where they are.
+    rows pick the rows; the planner knows their bound. However many rows tie, they stay where they are.
     """
     order = [F.desc(descending), F.asc(ascending)]
     head = df.groupBy(descending, ascending).agg(F.count(F.lit(1)).alias("_count")).orderBy(*order).limit(k)
     ranks = head.select(
         descending, ascending, (_before(F.col("_count"), W.orderBy(*order)) + 1).cast("int").alias(rank)
     ).filter(F.col(rank) <= k)
-    return df.join(F.broadcast(ranks), [descending, ascending])
+    return df.join(ranks, [descending, ascending])

@@ -9,24 +9,29 @@ from quartier.plans.mart import Mart, Store
 
 # Staged copies of inputs that several jobs read (fixed names).
 BUSINESS_SOURCE, REVIEW_SOURCE = "business_source", "review_source"
+BUSINESS_REJECTS = "business_rejects"
 
 
 def build_dimensions(business: DataFrame, store: Store) -> None:
     """Stage location, business, category and bridge.
 
     The business records are staged first, so that a text source is parsed once and the four tables read only their
-    columns. The bridge joins the staged categories: their keys are settled, and their size is known to the planner.
+    columns. Records without a business go to a table of their own, ``BUSINESS_REJECTS``, and to no dimension.
     Keys are checked, because they are hashes and because the reports take one location per business for granted: the
-    location key repeats where it collides and where a business does. Records without a business join nothing.
+    location key repeats where it collides and where a business does. They are checked on the staged records, before
+    any of the four tables is replaced.
     """
     store.save(business, BUSINESS_SOURCE)
-    source = store.load(BUSINESS_SOURCE)
-    store.save(dims.location_dim(source), "location")
+    staged = store.load(BUSINESS_SOURCE)
+    store.save(staged.where("business_id IS NULL"), BUSINESS_REJECTS)
+    source = staged.where("business_id IS NOT NULL")
+    location, category = dims.location_dim(source), dims.category_dim(source)
+    checks.require_unique(location, "location_id")
+    checks.require_unique(category, "category_id")
+    store.save(location, "location")
     store.save(dims.business_dim(source), "business")
-    store.save(dims.category_dim(source), "category")
-    store.save(dims.business_category(source, store.load("category")), "business_category")
-    checks.require_unique(store.load("location").filter("business_id IS NOT NULL"), "location_id")
-    checks.require_unique(store.load("category"), "category_id")
+    store.save(category, "category")
+    store.save(dims.business_category(source), "business_category")
 
 
 def stage_reviews(reviews: DataFrame, store: Store) -> DataFrame:

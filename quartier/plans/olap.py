@@ -92,18 +92,17 @@ def cube_state_category_year(
     through the bridge does. As in Q1, everything is summed per cell before the cells are expanded into subtotals.
     """
     years = business_years(scored(fact), location, calendar, parts("review_count"), ["state"])
-    # Names are joined early here: the totals over categories must leave out pairs without a known category.
-    named = category_weights(bridge).join(category, "category_id")
+    # The bridge holds known categories only, as staging makes it, so names can wait until there are only cells.
     rows = mark_first(years, "year", "first_year").join(
-        mark_first(named, "category_id", "first_category"), "business_id"
+        mark_first(category_weights(bridge), "category_id", "first_category"), "business_id"
     )
     weight = F.col("weight")
-    cells = rows.groupBy("state", "category_name", "year").agg(
+    cells = rows.groupBy("state", "category_id", "year").agg(
         row_count().alias("businesses"),
         *sums("first_year", "first_category"),
         F.sum(F.col("first_category") * F.col("first_year")).alias("first_both"),
         *[F.sum(F.col(name) * weight).alias(name) for name in ("review_count", *SCORE_PARTS)],
-    )
+    ).join(category, "category_id")
     all_categories, all_years = F.grouping("category_name") == 1, F.grouping("year") == 1
     counted = (
         F.when(all_categories & all_years, F.sum("first_both"))
@@ -286,8 +285,10 @@ def top_categories(
     )
     rank = F.rank().over(W.partitionBy("state").orderBy(F.desc("mean")))
     ranked = totals.withColumn("rang_dans_etat", rank)
-    if k is not None:
-        ranked = ranked.filter(F.col("rang_dans_etat") <= k)
+    # The first ``rows`` rows of the listing have ranks up to ``rows``.
+    bounds = [n for n in (k, rows) if n is not None]
+    if bounds:
+        ranked = ranked.filter(F.col("rang_dans_etat") <= min(bounds))
     ranked = ranked.orderBy("state", "rang_dans_etat", "category_name")
     if rows is not None:
         ranked = ranked.limit(rows)

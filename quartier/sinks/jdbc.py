@@ -82,17 +82,23 @@ def sink_shape(df: DataFrame, name: str) -> DataFrame:
     return upper_columns(warehouse_names(df, name))
 
 
+#: Connections open at once, unless the caller says otherwise.
+CONNECTIONS = 16
+
+
 def write_table(
     df: DataFrame,
     options: Mapping[str, str],
     table: str,
     types: str,
     batch_size: int = 420,
-    connections: int | None = None,
+    connections: int | None = CONNECTIONS,
 ) -> None:
     """Replace the rows of ``table``, keeping its definition when it exists.
 
-    Every task inserts over its own connection; ``connections`` bounds how many there are at once.
+    Every task inserts over its own connection; ``connections`` bounds how many there are at once (None: one for each
+    task). A task that fails after part of its rows went in repeats them when it is retried: a table without a primary
+    key can then hold rows twice.
     """
     writer = (
         df.write.format("jdbc")
@@ -111,7 +117,7 @@ def load_warehouse(
     options: Mapping[str, str],
     tables: Mapping[str, str] = TABLES,
     batch_size: int = 420,
-    connections: int | None = None,
+    connections: int | None = CONNECTIONS,
 ) -> None:
     """Load the six tables, dimensions first and the fact last."""
     for name in TABLES:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,15 +15,18 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).option("multiLine", False).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: list[str]) -> DataFrame:
-    r"""CSV with a header, ``"`` quotes and ``\`` escapes.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, required: list[str], multi_line: bool = False, escape: str = "\\",
+) -> DataFrame:
+    r"""CSV with a header, ``"`` quotes and ``\`` escapes; ``escape='"'`` reads doubled quotes.
 
     A line is kept when every ``required`` column is present and parses, whichever columns a query then selects.
     (Spark's own drop-malformed mode judges only the selected columns, so the same line could be kept by one query and
-    dropped by another.) The file stays splittable, hence quoted line breaks are not supported.
+    dropped by another.) :func:`rejected_csv` has the lines left out. The file stays splittable; with ``multi_line`` quoted
+    line breaks are read, but each file is then one task, which suits many files of moderate size.
     """
     rows = spark.read.schema(schema).options(
-        header=True, sep=",", quote='"', escape="\\", mode="PERMISSIVE", multiLine=False
+        header=True, sep=",", quote='"', escape=escape, mode="PERMISSIVE", multiLine=multi_line
     ).csv(path)
     for column in required:
         rows = rows.filter(F.col(column).isNotNull())
@@ -39,5 +42,32 @@ def load_checkins(spark: SparkSession, path: str) -> DataFrame:
     return split_dates(read_ndjson(spark, path, schemas.CHECKIN))
 
 
-def load_tips(spark: SparkSession, path: str, schema: T.StructType = schemas.TIP) -> DataFrame:
-    return read_csv(spark, path, schema, required=["business_id", "date"])
+def load_tips(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.TIP, multi_line: bool = False, escape: str = "\\",
+) -> DataFrame:
+    return read_csv(spark, path, schema, ["business_id", "date"], multi_line, escape)
+
+
+def _rejects(lines: DataFrame, record: Column, required: list[str], source: str) -> DataFrame:
+    read = lines.withColumn("_record", record)
+    missing = [F.when(F.col("_record")[name].isNull(), F.lit(name)) for name in required]
+    reason = F.concat_ws(", ", *missing)
+    return read.where(reason != "").select(
+        F.lit(source).alias("source"), F.concat(F.lit("no "), reason).alias("reason"), F.col("value").alias("text")
+    )
+
+
+def rejected_ndjson(spark: SparkSession, path: str, schema: T.StructType, required: list[str], source: str) -> DataFrame:
+    """(source, reason, text) of the lines that do not parse or lack a required value; blank lines are no records."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return _rejects(lines, F.from_json("value", schema, {"mode": "PERMISSIVE"}), required, source)
+
+
+def rejected_csv(
+    spark: SparkSession, path: str, schema: T.StructType, required: list[str], source: str, escape: str = "\\",
+) -> DataFrame:
+    """(source, reason, text) of the lines that :func:`read_csv` leaves out when it reads line by line."""
+    header = ",".join(schema.fieldNames())
+    lines = spark.read.text(path).where((F.trim("value") != "") & (F.col("value") != header))
+    options = {"sep": ",", "quote": '"', "escape": escape, "mode": "PERMISSIVE"}
+    return _rejects(lines, F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), options), required, source)

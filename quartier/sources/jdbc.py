@@ -10,9 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 PARTITION_COLUMN = "spark_partition"
 
 
+# Rows fetched at a time. With some drivers' default of 0 a connection's whole share would lie in executor memory.
+FETCH_SIZE = "10000"
+
+
+def _with_fetch_size(options: Mapping[str, str]) -> dict[str, str]:
+    return dict(options) if "fetchsize" in map(str.lower, options) else {**options, "fetchsize": FETCH_SIZE}
+
+
 def read_table(spark: SparkSession, options: Mapping[str, str], table: str) -> DataFrame:
     """A whole table over one connection; for small tables such as users and elite years."""
-    return spark.read.format("jdbc").options(**options, dbtable=table).load()
+    return spark.read.format("jdbc").options(**_with_fetch_size(options), dbtable=table).load()
 
 
 def read_table_split(
@@ -32,9 +40,9 @@ def read_table_split(
         "upperBound": str(partitions),
         "numPartitions": str(partitions),
     }
-    return spark.read.format("jdbc").options(**options, dbtable=table, **split).load()
+    return spark.read.format("jdbc").options(**_with_fetch_size(options), dbtable=table, **split).load()
 
 
 def read_query(spark: SparkSession, options: Mapping[str, str], sql: str) -> DataFrame:
     """The result of a query that the remote database runs."""
-    return spark.read.format("jdbc").options(**options, query=sql).load()
+    return spark.read.format("jdbc").options(**_with_fetch_size(options), query=sql).load()

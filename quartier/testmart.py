@@ -128,7 +128,7 @@ class OrderMart:
 
     @cached_property
     def business_category(self) -> DataFrame:
-        return dims.business_category(self._tagged, self.category)
+        return dims.business_category(self._tagged)
 
     @cached_property
     def calendar(self) -> DataFrame:

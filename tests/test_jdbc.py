@@ -50,7 +50,11 @@ class Session:
 
 
 def test_whole_table():
-    assert source.read_table(Session(), CONNECTION, "users") == {"format": "jdbc", **CONNECTION, "dbtable": "users"}
+    assert source.read_table(Session(), CONNECTION, "users") == {
+        "format": "jdbc", **CONNECTION, "dbtable": "users", "fetchsize": "10000"
+    }
+    assert source.read_table(Session(), {**CONNECTION, "fetchSize": "5"}, "users")["fetchSize"] == "5"
+    assert "fetchsize" not in source.read_table(Session(), {**CONNECTION, "fetchSize": "5"}, "users")
 
 
 def test_split_table_reads_one_value_per_connection():

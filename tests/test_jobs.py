@@ -59,9 +59,26 @@ def test_staged_tables(spark, root):
     assert all(store.load(name).count() > 0 for name in SUMMARIES)
 
 
-def test_report_is_shown(root, capfd):
-    main(["report", "q1", "--root", root])
-    assert "TOTAL_GLOBAL" in capfd.readouterr().out
+def test_report_is_shown_and_kept(spark, root, capfd, tmp_path):
+    main(["report", "q1", "--root", root, "--rows", "2", "--output", str(tmp_path / "q1")])
+    shown = capfd.readouterr().out
+    kept = spark.read.parquet(str(tmp_path / "q1"))
+    assert kept.count() > 2 and f"2 of {kept.count()} rows shown" in shown
+
+
+def test_records_without_a_business_are_set_aside(spark, root):
+    store = Store(spark, root)
+    assert store.load(jobs.BUSINESS_REJECTS).count() == 2
+    assert store.load("location").count() == store.load("business").count() == 2
+
+
+def test_a_failed_load_leaves_the_tables_as_they_were(spark, root, tmp_path):
+    path = tmp_path / "twice.json"
+    path.write_text('{"business_id":"z","name":"Z"}\n{"business_id":"z","name":"Z"}\n')
+    with pytest.raises(ValueError, match="not unique"):
+        main(["dimensions", "--root", root, "--business", str(path)])
+    assert {r.business_id for r in Store(spark, root).load("location").collect()} == {"a", "b"}
+    assert Store(spark, root).load("business_category").count() == 3
 
 
 def test_tables_go_to_the_sink(root, monkeypatch):

@@ -16,12 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry._library_queries()) == set(registry._library_sql())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry._library_queries()))
 def test_query_equals_sql(spark, con, name):
-    assert differences(registry.queries()[name](spark, SF_DIR), con, registry.oracle_sql()[name]) == []
+    assert differences(registry._library_queries()[name](spark, SF_DIR), con, registry._library_sql()[name]) == []
 
 
 def test_entry(spark):

@@ -66,6 +66,28 @@ def test_tip_file_keeps_the_same_lines_under_any_projection(spark, tmp_path):
     assert {r.text for r in tips.collect()} >= {"comma, inside", 'quote " inside'}
 
 
+def test_tips_with_line_breaks_and_doubled_quotes(spark, tmp_path):
+    text = 'user_id,business_id,text,date,compliment_count\n' + "".join(
+        f'u,{name},"{said}",2020-01-0{k} 10:00:00,0\n' for k, (name, said) in enumerate([("a", "two\nlines"), ("b", 'so ""good"", yes'), ("c", "plain")], 1)
+    )
+    path = _file(tmp_path, "t.csv", text)
+    tips = files.load_tips(spark, path, multi_line=True, escape='"')
+    assert {(r.business_id, r.text) for r in tips.collect()} == {("a", "two\nlines"), ("b", 'so "good", yes'), ("c", "plain")}
+
+
+def test_lines_left_out_are_accounted_for(spark, tmp_path):
+    lines = ['{"business_id":"a","date":"2020-01-01"}', "broken", '{"date":"2020-01-02"}', "", '{"business_id":"b"}']
+    found = files.rejected_ndjson(spark, _file(tmp_path, "c.json", "\n".join(lines)), files.schemas.CHECKIN, ["business_id"], "checkin")
+    assert {tuple(r) for r in found.collect()} == {
+        ("checkin", "no business_id", "broken"), ("checkin", "no business_id", '{"date":"2020-01-02"}')
+    }
+    path = _file(tmp_path, "t.csv", TIPS)
+    kept = files.load_tips(spark, path).count()
+    rejects = files.rejected_csv(spark, path, files.schemas.TIP, ["business_id", "date"], "tip")
+    whole = [line for line in TIPS.split("\n")[1:] if line.strip()]
+    assert kept + rejects.count() == len(whole)
+
+
 def test_staged_tables_are_replaced(spark, tmp_path, as_rows):
     root = str(tmp_path)
     staged.save(spark.range(5).toDF("x"), root, "t")
