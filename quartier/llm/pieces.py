@@ -257,11 +257,11 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
 
     def solve(one: pd.DataFrame) -> pd.DataFrame:
         one = one.sort_values("k")
-        shaped = [np.frombuffer(b, np.int8).reshape(r, c) for b, r, c in zip(one.reached, one.rows, one.columns)]
+        shaped = [np.frombuffer(b, np.int8).reshape(r, c) for b, r, c in zip(one["reached"], one["rows"], one["columns"])]
         found = find_states([np.where(m > 0, 0.0, -np.inf) for m in shaped])
-        ends = [(int(e[2 * i]), int(e[2 * i + 1])) for e, i in zip(one.ends, found)]
+        ends = [(int(e[2 * i]), int(e[2 * i + 1])) for e, i in zip(one["ends"], found)]
         starts = [(0, 0), *ends[:-1]]
-        rows = [(r, k, *s, *e) for r, k, s, e in zip(one.row, one.k, starts, ends)]
+        rows = [(r, k, *s, *e) for r, k, s, e in zip(one["row"], one["k"], starts, ends)]
         return pd.DataFrame(rows, columns=["row", "k", "s0", "s1", "e0", "e1"])
 
     states = matrices.groupBy("row").applyInPandas(solve, "row long, k int, s0 long, s1 long, e0 long, e1 long")
