@@ -210,7 +210,10 @@ def _ends(pieces: Pieces, text: str, first: int, begin: int, cut: int, clean_sta
 def _between(pieces: Pieces, text: str, start: State, clean_start: bool, end: State, clean: bool) -> list[int]:
     """Ids from ``start`` to ``end``; from and to a clean cut the words between are encoded as they are."""
     if clean_start and clean:
-        (ids,) = pieces.encode([text[start[1] + 1 : end[1]].replace(SPACE, " ")])
+        inner = text[start[1] + 1 : end[1]].replace(SPACE, " ")
+        if not inner:  # a space alone
+            return [pieces.ids[SPACE]]
+        (ids,) = pieces.encode([inner])
         return np.frombuffer(ids, "<u4").tolist()
     own = text[: end[1]] if clean else text
     if clean:
