@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
@@ -135,7 +136,13 @@ class PartEncoder:
         if self.word:
             found = [self.word.ids(p) for p in parts]
             rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
-            return [next(rest) if ids is None else np.array(ids, dtype="<u4").tobytes() for ids in found]
+            raw = np.fromiter(chain.from_iterable(ids for ids in found if ids is not None), dtype="<u4").tobytes()
+            out, at = [], 0
+            for ids in found:
+                end = at if ids is None else at + 4 * len(ids)
+                out.append(next(rest) if ids is None else raw[at:end])
+                at = end
+            return out
         return self._by_library(parts)
 
     def counts(self, parts: list[str]) -> list[int]:
