@@ -32,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of least id."""
-    found = cut_lineage(neardup.near_duplicates(docs).where("kept"))
+    """One document of each group of near-duplicates, linked at a similarity of 0.8 or more: the one of least id."""
+    found = cut_lineage(neardup.near_duplicates(docs, percent=80).where("kept"))
     kept = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows")).alias("k")
     rows = docs.select(*COLUMNS, F.xxhash64(F.col("text").cast("string")).alias("_hash")).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._hash") == F.col("k.text_hash"))

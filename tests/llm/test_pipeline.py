@@ -34,3 +34,16 @@ def test_odd_rows_pass_through(spark):
     assert docs.count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.limit(0), DATA).count() == 0
+
+
+def test_near_copies_from_four_fifths_are_dropped(spark):
+    """Texts of 100 shingles that share their first 90 (90/110), 89 (89/111) and 88 (88/112) with the one before."""
+    rows, at = [], 0
+    for shared in (90, 89, 88):
+        words = [f"v{at + k}" for k in range(104)]
+        other = words[: shared + 4] + [f"u{at + k}" for k in range(100 - shared)]
+        rows += [(at + k, " ".join(w), "en", "s", 0) for k, w in enumerate((words, other))]
+        at += 1000
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), DATA)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1000, 2000, 2001]
