@@ -4,9 +4,10 @@ Words weigh the log-odds of standing in a toxic rather than another document, wi
 words' frequency over both; words that do not differ clearly weigh a small negative amount. In a text, the linear-time scan
 of Ruzzo and Tompa finds every maximal segment of positive total weight: the passages. In texts that are not toxic the best
 of many random segments follows an extreme-value law (Karlin and Altschul): a score S in n words is expected K n exp(-lambda
-S) times. lambda solves sum p(s) exp(lambda s) = 1 over the weights of words in such texts; K is its likelihood estimate
-over training texts. The evidence of a text is that of its passages together, lambda * sum of S less log(K n); one
-logistic curve, fitted to the training labels, turns it into a probability.
+S) times. lambda solves sum p(s) exp(lambda s) = 1 over the weights of words in such texts; with K, half the passages found
+in training texts that are not toxic are expected above their median. A passage's evidence is lambda S - log(K n), less than zero for one that chance makes more than once.
+The evidence of a text is the sum over the passages above zero, or else that of the best one: chance adds 1 to it on
+average, however long the text. One logistic curve, fitted to the training labels, turns it into a probability.
 
 Only labelled rows are learnt from, at most ``TRAIN_ROWS`` of them (those of least hash). All rows are scored.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -74,7 +75,9 @@ class Model:
     level: float
 
     def evidence(self, n: int, passages: list[tuple[int, int, float]]) -> float:
-        return self.rate * sum(s for _, _, s in passages) - math.log(self.k * max(n, 1))
+        chance = math.log(self.k * max(n, 1))
+        each = [self.rate * s - chance for _, _, s in passages] or [-chance]
+        return sum(e for e in each if e > 0) or max(each)
 
     def expected(self, n: int, score: float) -> float:
         return self.k * max(n, 1) * math.exp(-min(self.rate * score, 700.0))
@@ -126,6 +129,18 @@ def chance_rate(weights: dict[bytes, float], others: dict[bytes, int]) -> float:
     return high
 
 
+def chance_scale(rate: float, sizes: Sequence[int], scores: Sequence[Sequence[float]]) -> float:
+    """K from the passages of texts that are not toxic. Their median is not moved by a few wrong labels.
+
+    Where such texts have no passage, one of score zero in a text of mean length is taken for it.
+    """
+    total = max(sum(sizes), 1)
+    found = [s for own in scores for s in own]
+    if not found:
+        return max(len(sizes), 1) / total
+    return len(found) / 2 / total * math.exp(min(rate * float(np.median(found)), 600.0))
+
+
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and level of the likeliest logistic curve, with a little shrinking of the slope."""
     if not len(x) or y.min() == y.max():
@@ -192,18 +207,16 @@ def fit(
             for text, label in zip(texts, toxic):
                 own = words(text)
                 found = model.passages(own)
-                yield len(own), sum(s for *_, s in found), max((s for *_, s in found), default=0.0), int(label == 1)
+                yield len(own), [s for *_, s in found], int(label == 1)
 
         return step
 
-    # At most ``rows`` rows of four numbers.
-    got = map_rows(train, "n long, total double, best double, toxic int", measure).toPandas()
-    null = got[got.toxic == 0]
-    chance = float((null.n.clip(lower=1) * np.exp(-np.minimum(model.rate * null.best, 700))).sum())
-    k = len(null) / chance if chance > 0 else 1.0
-    evidence = model.rate * got.total.to_numpy() - np.log(k * got.n.clip(lower=1).to_numpy())
+    # At most ``rows`` rows, of two numbers and the passages' scores.
+    got = map_rows(train, "n long, scores array<double>, toxic int", measure).toPandas()
+    model = replace(model, k=chance_scale(model.rate, got.n[got.toxic == 0].tolist(), got.scores[got.toxic == 0].tolist()))
+    evidence = np.array([model.evidence(n, [(0, 0, s) for s in scores]) for n, scores in zip(got.n, got.scores)])
     slope, level = logistic(evidence, got.toxic.to_numpy(dtype=float))
-    return Model(weights, model.rate, k, slope, level)
+    return replace(model, slope=slope, level=level)
 
 
 def score(

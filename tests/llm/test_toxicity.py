@@ -72,3 +72,21 @@ def test_edge_rows(spark):
         got = toxicity.score(more, model, keep=["text"]).collect()
         assert len(got) == 405 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_long_clean_texts_stay(spark):
+    """Clean texts joined to very long ones: each has chance passages in proportion to its length."""
+    pick = random.Random(5)
+    docs, labels = table(spark, 3000)
+    texts = {r.doc_id: r.text.split() for r in docs.collect()}
+    for i, words in texts.items():
+        if i % 8 and i % 25 == 1:
+            words[pick.randrange(len(words))] = pick.choice(["blarg", "snotty", "grumph"])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    model = toxicity.fit(docs, labels)
+    clean = [w for i, w in texts.items() if i % 8]
+    long = [(k, " ".join(w for part in pick.choices(clean, k=n) for w in part)) for k, n in enumerate([10, 100, 1000, 5000] * 5)]
+    got = toxicity.score(spark.createDataFrame(long, docs.schema), model).collect()
+    assert [r.doc_id for r in got if r.score >= 0.5] == []
+    scored = toxicity.score(docs, model).collect()
+    assert sum((r.score >= 0.5) != (r.doc_id % 8 == 0) for r in scored) <= 0.01 * len(scored)
