@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from quartier.llm.arrow import map_rows
 from quartier.session import cut_lineage
 
-#: Bound of the labelled rows that the text model is fitted on, and of the languages it has.
+#: Labelled rows that the text model is fitted on, and the fewest of a language that has as many; both but for chance.
 TRAIN_ROWS = 20_000
-LANGUAGES = 200
+LEAST_ROWS = 100
 #: Trigrams are counted in this many classes.
 CLASSES = 1 << 14
 #: Trigrams overlap, so a text counts as this many independent ones at most.
@@ -63,19 +63,32 @@ class Model:
         return len(found), [float(x) for x in self.likelihood[found].mean(axis=0, dtype=np.float64)]
 
 
+def sample_shares(sizes: dict[str, int], rows: int) -> dict[str, float]:
+    """The share of each language's texts that is learnt from: all of small ones, the rest of ``rows`` evenly to others."""
+    shares = {}
+    for k, (lang, size) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        own = max(LEAST_ROWS, rows // (len(sizes) - k))
+        shares[lang] = min(1.0, own / max(size, 1))
+        rows = max(0, rows - min(size, own))
+    return shares
+
+
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A text model from the ``rows`` labelled documents of least text hash; the ``LANGUAGES`` most frequent labels count.
+    """A text model of every label in ``docs``, from about ``rows`` distinct labelled documents in all.
 
-    Null texts and labels are left out. Without any, the model has no language and nothing is accepted.
+    Labels are counted over all rows; each then gives its texts of least hash, as many as ``sample_shares`` says, so a rare
+    language is in the model whatever the size of the table. Null texts and labels are left out. Without any, the model has
+    no language and nothing is accepted.
     """
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = known.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text", "lang"))
-    last = known.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    if last is None:
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    languages = tuple(sorted(sizes))
+    if not languages:
         return Model((), np.zeros((CLASSES, 0), np.float32), np.zeros(0), np.zeros(0))
-    train = cut_lineage(known.where(F.col("h") <= last).select("lang", "text").distinct())
-    by_count = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = tuple(sorted(r.lang for r in by_count.collect()))
+    shares = docs.sparkSession.createDataFrame([*sample_shares(sizes, rows).items()], "lang string, share double")
+    low = F.col("h") / 2.0**64 + 0.5 <= F.col("share")
+    train = cut_lineage(known.join(F.broadcast(shares), "lang").where(low).select("lang", "text").distinct())
 
     def count():
         def step(langs: list, texts: list) -> Iterator[tuple]:
@@ -89,7 +102,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, text_col: str = "text", lang_co
     counted = map_rows(train, "lang string, class int, n long", count).groupBy("lang", "class").agg(F.sum("n").alias("n"))
     table = np.full((CLASSES, len(languages)), 0.5)
     place = {lang: i for i, lang in enumerate(languages)}
-    for r in counted.where(F.col("lang").isin(*languages)).collect():  # CLASSES * LANGUAGES at most
+    for r in counted.collect():  # CLASSES for each language at most
         table[r["class"], place[r.lang]] += r.n
     likelihood = np.log(table / table.sum(axis=0)).astype(np.float32)
 
@@ -97,7 +110,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, text_col: str = "text", lang_co
         def step(langs: list, texts: list) -> Iterator[tuple]:
             for lang, text in zip(langs, texts):
                 found = trigrams(text)
-                if len(found) and lang in place:
+                if len(found):
                     yield lang, len(found), float(likelihood[found, place[lang]].mean(dtype=np.float64))
 
         return step

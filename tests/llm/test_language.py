@@ -66,3 +66,26 @@ def test_hosts_and_markup_decide_where_the_text_does_not(spark):
     assert all(got[i].lang == "de" and got[100 + i].lang == "en" for i in range(60))
     assert got[200].lang != "en" and got[201].lang == "en"  # one text, but other evidence
     assert got[301].lang == "fr" and got[301].declared == "none" and not got[300].accepted and not got[302].accepted
+
+
+def test_rare_languages_are_in_the_model_of_a_large_table(spark):
+    """Three documents of one language among many, and a hot group of copies: both must leave every language its rows."""
+    pick = random.Random(6)
+    docs = [(i, text("en", 20, pick), "en", "s", "?", "?") for i in range(3000)]
+    docs += [(10000 + i, text("de", 20, pick), "de", "s", "?", "?") for i in range(3)]
+    docs += [(20000 + i, "le la les des est une que pour", "fr", "s", "?", "?") for i in range(500)]
+    table = spark.createDataFrame(docs, SCHEMA)
+    model = language.fit(table, rows=40)
+    assert model.languages == ("de", "en", "fr")
+    got = {r.key: r for r in language.identify_documents(table, model).collect()}
+    assert all(got[i].lang == lang and got[i].declared == lang for i, _, lang, *_ in docs)
+
+
+def test_every_label_is_in_the_model(spark):
+    docs = [(i, f"{chr(97 + i % 26) * 3} {chr(97 + i // 26) * 4}", f"l{i}", "s", "?", "?") for i in range(260)]
+    assert language.fit(spark.createDataFrame(docs, SCHEMA), rows=50).languages == tuple(sorted(f"l{i}" for i in range(260)))
+
+
+def test_sample_shares_fill_the_rows():
+    shares = language.sample_shares({"en": 10**9, "de": 10**6, "sw": 3}, 20_000)
+    assert shares["sw"] == 1 and round(shares["de"] * 10**6) == 9998 and round(shares["en"] * 10**9) == 9999
