@@ -128,7 +128,8 @@ def fit(docs: DataFrame, rows: int = TRAIN_ROWS, text_col: str = "text", lang_co
 
 _SCRIPT = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
 _TAG = re.compile(r"<[^>]*(?:>|\Z)")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", re.I)
+_ROOT = re.compile(r"<html\b[^>]*", re.I)
+_DECLARED = re.compile(r"\blang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", re.I)
 
 
 def visible(page: str | None) -> str:
@@ -137,8 +138,9 @@ def visible(page: str | None) -> str:
 
 
 def declared(page: str | None) -> str | None:
-    """Primary part of the language that the page's root element declares."""
-    found = _DECLARED.search((page or "")[:4096])
+    """Primary part of the language that the page's root element declares, wherever it stands outside scripts and comments."""
+    tags = _ROOT.finditer(_SCRIPT.sub(" ", page or ""))
+    found = next(filter(None, (_DECLARED.search(tag[0]) for tag in tags)), None)
     return found[1].lower() if found else None
 
 

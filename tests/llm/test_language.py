@@ -89,3 +89,12 @@ def test_every_label_is_in_the_model(spark):
 def test_sample_shares_fill_the_rows():
     shares = language.sample_shares({"en": 10**9, "de": 10**6, "sw": 3}, 20_000)
     assert shares["sw"] == 1 and round(shares["de"] * 10**6) == 9998 and round(shares["en"] * 10**9) == 9999
+
+
+def test_declared_language_is_found_in_the_whole_page():
+    root, long = '<html class="x" lang="de-AT"><body>', "licence " * 2000
+    assert language.declared(f"<!-- {long} -->{root}") == "de"
+    assert language.declared(f"<?xml version='1.0'?>{' ' * 5000}<!doctype html>{root}") == "de"
+    assert language.declared(f'<!-- <html lang="fr"> {long} --><script>"<html lang=en>"</script>{root}') == "de"
+    assert language.declared('<!-- <html lang="fr"> --><html><body>') is None
+    assert language.declared("<html " * 200_000) is None and language.declared(None) is None
