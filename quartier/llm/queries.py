@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quartier.llm import language, neardup, packing, pieces, prefixes, quality, sharding, tokenfiles, toxicity, vectors
+from quartier.llm import language, manifest, neardup, packing, pieces, prefixes, quality, sharding, tokenfiles, toxicity, vectors
 from quartier.session import scratch_path
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -77,6 +79,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digests(spark, path)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row proved against the manifest; every third row, by a CRC of its id, with its letters A-Z lowered."""
+    docs = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = manifest.row_digest(*(F.col(c) for c in columns[:-1]), lowered)
+    touched = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    built = manifest.build(
+        docs, manifest.row_digest(*(F.col(c) for c in columns)),
+        keep={"doc_id": F.col("doc_id"), "shown": F.when(touched, tampered)},
+    )
+    proved = manifest.proofs(built).withColumn("root", F.lit(built.root))
+    folded = manifest.fold(F.coalesce("shown", "leaf"), F.col("path"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_neardup": op2_neardup,
@@ -88,8 +109,70 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
-#: SQL exists only where DuckDB can state the whole result.
-ORACLE_SQL: dict[str, str] = {}
+# --- SQL, only where DuckDB can state the whole result -------------------------------------------------------------
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_framed(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWERED = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_CRC32 = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295), 4294967295)"""
+
+
+def _levels(name: str, base: str) -> str:
+    """All nodes above those of ``base`` (level, g, i, h, n), and the runs of siblings among them."""
+    return f"""{name}(level, g, i, h, n) AS (
+    {base}
+    UNION ALL
+    SELECT level + 1, g, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8
+    FROM {name} WHERE n > 1 GROUP BY level, g, i // 8, n
+), {name}_runs AS (
+    SELECT level, g, i // 8 AS run, list(h ORDER BY i) AS kids FROM {name} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _steps(leaf: str, runs: str, g: str, i: str) -> str:
+    """For each leaf its siblings to the left and right, level by level."""
+    own = f"({i} >> CAST(3 * level AS BIGINT)) % 8"
+    return f"""SELECT id, list(array_to_string(kids[1:{own}], '') || '|' || array_to_string(kids[{own} + 2:], '') ORDER BY level) AS steps
+    FROM {leaf} JOIN {runs} ON {runs}.g = {g} AND run = {i} >> CAST(3 * level + 3 AS BIGINT) GROUP BY id"""
+
+
+_MERKLE = f"""WITH RECURSIVE leaves AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS leaf,
+           CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf("text")} END AS shown
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           count(*) OVER (PARTITION BY g) AS n FROM leaves
+), {_levels("node", "SELECT 0, g, i, leaf, n FROM placed")}, subroots AS (
+    SELECT g AS lang, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS ordinal, count(*) OVER () AS langs
+    FROM node WHERE n = 1
+), {_levels("upper", "SELECT 0, '', ordinal, subroot, langs FROM subroots")}, below AS (
+    {_steps("placed", "node_runs", "placed.g", "placed.i")}
+), above AS (
+    {_steps("(SELECT ordinal AS id, * FROM subroots)", "upper_runs", "''", "ordinal")}
+), proved AS (
+    SELECT placed.doc_id, leaf, shown, subroot, (SELECT h FROM upper WHERE n = 1) AS root,
+           list_concat(coalesce(below.steps, []), coalesce(above.steps, [])) AS steps
+    FROM placed JOIN subroots ON placed.g = subroots.lang
+    LEFT JOIN below ON placed.id = below.id LEFT JOIN above ON ordinal = above.id
+), folded AS (
+    SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+           list_reduce(steps, lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), shown) AS folded_root
+    FROM proved
+) SELECT *, folded_root = root AS verified FROM folded"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op12_merkle_manifest": _MERKLE,
+}
