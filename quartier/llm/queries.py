@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quartier.llm import language, manifest, neardup, packing, pieces, prefixes, quality, sharding, tokenfiles, toxicity, vectors
+from quartier.llm import (
+    hardneg, language, manifest, neardup, packing, pieces, prefixes, quality, sharding, simhash, tokenfiles, toxicity, vectors,
+)
 from quartier.session import scratch_path
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -79,6 +81,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digests(spark, path)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row proved against the manifest; every third row, by a CRC of its id, with its letters A-Z lowered."""
     docs = _table(spark, sf_dir, "documents")
@@ -98,6 +104,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are changed first, as the task sets them."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_neardup": op2_neardup,
@@ -109,7 +121,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "op11_simhash": op11_simhash,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -173,6 +187,26 @@ _MERKLE = f"""WITH RECURSIVE leaves AS (
     FROM proved
 ) SELECT *, folded_root = root AS verified FROM folded"""
 
+_HARD_NEGATIVES = """WITH taken AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+    SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+           CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM taken a JOIN taken b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pair WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM positive JOIN pair USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+) SELECT * FROM ranked WHERE rank <= 3"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_hard_negatives": _HARD_NEGATIVES,
     "op12_merkle_manifest": _MERKLE,
 }
