@@ -17,7 +17,8 @@ from quartier import testmart
 from quartier.operators import dims, facts
 from quartier.plans import jobs, olap, summaries
 from quartier.plans.mart import Mart, Store
-from quartier.session import scratch_path
+from quartier.plans.versions import Versions
+from quartier.session import cut_lineage, scratch_path
 from quartier.sinks import jdbc as sink
 from quartier.sources import files
 
@@ -128,6 +129,83 @@ def _tip_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.tip_facts(files.load_tips(spark, path))
 
 
+def _damaged_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the businesses as NDJSON, some lines cut short, without a business or no record at all; what the job sets aside."""
+    path = scratch_path(spark, "damaged")
+    key, name = F.col("business_id").cast("string"), F.col("name")
+    whole = F.concat(F.lit('{"business_id":"'), key, F.lit('","name":"'), name, F.lit('"}'))
+    line = (
+        F.when(F.col("business_id") % 10 == 3, F.concat(F.lit('{"business_id":"'), key, F.lit('","name":')))
+        .when(F.col("business_id") % 10 == 7, F.concat(F.lit('{"name":"'), name, F.lit('","business_id":null}')))
+        .when(F.col("business_id") % 10 == 9, F.concat(F.lit("["), key, F.lit("]")))
+        .when(F.col("business_id") % 10 == 1, F.lit("  "))
+        .otherwise(whole)
+    )
+    testmart.Inputs(spark, sf_dir).profiles().select(line).write.text(path)
+    store = Store(spark, scratch_path(spark, "mart"))
+    jobs.build_dimensions(files.check_business(spark, path), store)
+    return store.load(jobs.BUSINESS_REJECTS)
+
+
+def _tip_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Tips as CSV records over two lines with doubled quotes; some without a business, a readable date, or an end."""
+    tips = testmart.Inputs(spark, sf_dir).tips()
+    key, day = F.col("business_id").cast("string"), F.date_format("date", "yyyy-MM-dd HH:mm:ss")
+    text = F.lit('"good,\nvery ""good"""')
+    record = (
+        F.when(F.col("business_id") % 10 == 3, F.concat(F.lit("u,,"), text, F.lit(","), day, F.lit(",0")))
+        .when(F.col("business_id") % 10 == 7, F.concat(F.lit("u,"), key, F.lit(","), text, F.lit(",some day,0")))
+        .when(F.col("business_id") % 10 == 9, F.concat(F.lit("u,"), key))
+        .otherwise(F.concat(F.lit("u,"), key, F.lit(","), text, F.lit(","), day, F.lit(",0")))
+    )
+    # Every file begins with its header.
+    header = spark.range(1).select(F.lit("user_id,business_id,text,date,compliment_count").alias("value"))
+    for part in range(4):
+        some = tips.where(F.col("business_id") % 4 == part).select(record.alias("value"))
+        header.union(some).coalesce(1).write.mode("append").text(path)
+
+
+def _multi_line_tips(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The tip records that are good and those that are set aside, as the fact job stages them."""
+    path = scratch_path(spark, "tips")
+    _tip_lines(spark, sf_dir, path)
+    store = Store(spark, scratch_path(spark, "mart"))
+    checked = files.check_tips(spark, path, multi_line=True, escape='"')
+    good = jobs.set_aside(checked, jobs.TIP_SOURCE, jobs.TIP_REJECTS, "tips", store)
+    return good, store.load(jobs.TIP_REJECTS)
+
+
+def _keys_over_loads(table: Callable[[Store], DataFrame]) -> Query:
+    """Keys after a first load of two thirds of the businesses and a second load of all."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = testmart.Inputs(spark, sf_dir)
+        store = Store(spark, scratch_path(spark, "mart"))
+        businesses = cut_lineage(source.businesses())
+        jobs.build_dimensions(businesses.where("business_id % 3 <> 0"), store, dense_keys=True)
+        jobs.build_dimensions(businesses, store, dense_keys=True)
+        return table(store)
+
+    return run
+
+
+def _published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the mart, fail half-way through a second load, and read what is current."""
+    versions = Versions(spark, scratch_path(spark, "versions"))
+    source = testmart.Inputs(spark, sf_dir)
+    with versions.load() as store:
+        jobs.build_dimensions(source.businesses(), store)
+        jobs.build_calendar(source.reviews(), store)
+        jobs.build_fact(source.reviews(), source.tips(), source.checkins(), store)
+    try:
+        with versions.load() as store:
+            store.save(source.businesses().limit(0), "location")
+            raise InterruptedError("the load fails here")
+    except InterruptedError:
+        pass
+    return _fact_columns(versions.current().mart())
+
+
 def _built_mart(store: Store, sf_dir: str) -> Mart:
     """The mart as the jobs stage it, from the tables of a folder."""
     source = testmart.Inputs(store.spark, sf_dir)
@@ -216,7 +294,10 @@ def _library_queries() -> dict[str, Query]:
         "t2_business_dim": _on_mart(lambda m: m.business.withColumn("attributes", F.to_json("attributes"))),
         "t3_location_dim": _on_mart(lambda m: m.location.drop("location_id")),
         "t3_t4_key_counts": _on_mart(_key_counts),
+        "t3_location_keys": _keys_over_loads(lambda s: s.load("location").select("business_id", "location_id")),
+        "t4_category_keys": _keys_over_loads(lambda s: s.load("category")),
         "t4_category_dim": _on_mart(lambda m: m.category.select("category_name")),
+        "t5_dense_business_category": _keys_over_loads(lambda s: s.load("business_category")),
         "t5_business_category": _on_mart(_bridge_names),
         "t6_calendar": _on_mart(lambda m: m.calendar),
         "t7_time_id": _on_inputs(lambda s: facts.with_time_id(s.reviews()).select("review_id", "time_id")),
@@ -229,7 +310,11 @@ def _library_queries() -> dict[str, Query]:
         # Sources, staging, layout and sink shapes.
         "s1_business_ndjson": _business_file,
         "s2_tips_csv": _tip_file,
+        "s1_business_rejects": _damaged_businesses,
+        "s2_tips_csv_multiline": lambda spark, sf_dir: facts.tip_facts(_multi_line_tips(spark, sf_dir)[0]),
+        "s2_tips_rejects": lambda spark, sf_dir: _multi_line_tips(spark, sf_dir)[1],
         "s7_checkins_ndjson": _checkin_file,
+        "k1_published_fact": _published_fact,
         "k1_staged_fact": _staged_fact,
         "l1_bucketed_cube": _bucketed_cube,
         "k3_sink_fact": _on_mart(_sink_rows("performance_fact")),
@@ -437,6 +522,13 @@ _DATES = f"""{_MART}, stacked AS (
     SELECT business_id, o_orderdate AS day FROM line UNION ALL SELECT business_id, l_shipdate FROM line
 )"""
 
+_KEYED = f"""{_MART}, category AS (
+    SELECT category_name, row_number() OVER (ORDER BY min(business_id % 3 = 0), category_name) AS category_id
+    FROM bridge GROUP BY category_name
+)"""
+
+_QUOTED = "'\"good,' || chr(10) || 'very \"\"good\"\"\"'"
+
 _DAY_TEXT = "strftime(day, '%Y-%m-%d %H:%M:%S') AS date"
 
 
@@ -479,6 +571,10 @@ def _library_sql() -> dict[str, str]:
             SELECT 'location' AS dim, count(*) AS row_count, count(DISTINCT business_id) AS key_count FROM location
             UNION ALL
             SELECT 'category', count(DISTINCT category_name), count(DISTINCT category_name) FROM bridge""",
+        "t3_location_keys": f"""{_MART} SELECT business_id, row_number() OVER (
+            ORDER BY CASE WHEN business_id % 3 = 0 THEN 1 ELSE 0 END, business_id) AS location_id FROM location""",
+        "t4_category_keys": f"{_KEYED} SELECT * FROM category",
+        "t5_dense_business_category": f"{_KEYED} SELECT business_id, category_id FROM bridge JOIN category USING (category_name)",
         "t4_category_dim": f"{_MART} SELECT DISTINCT category_name FROM bridge",
         "t5_business_category": f"{_MART} SELECT * FROM bridge",
         "t6_calendar": f"{_MART} SELECT * FROM calendar",
@@ -492,6 +588,21 @@ def _library_sql() -> dict[str, str]:
         "s1_business_ndjson": f"""{_MART} SELECT CAST(business_id AS VARCHAR) AS business_id, business.* EXCLUDE
             (business_id), location.* EXCLUDE (business_id) FROM business JOIN location USING (business_id)""",
         "s2_tips_csv": f"""{_MART} SELECT * REPLACE (CAST(business_id AS VARCHAR) AS business_id) FROM tip_fact""",
+        "s1_business_rejects": """SELECT 'business' AS source,
+            CASE WHEN c_custkey % 10 = 7 THEN 'no business_id' ELSE 'not JSON' END AS reason,
+            CASE WHEN c_custkey % 10 = 3 THEN '{"business_id":"' || c_custkey || '","name":'
+                 WHEN c_custkey % 10 = 7 THEN '{"name":"' || c_name || '","business_id":null}'
+                 ELSE '[' || c_custkey || ']' END AS text
+            FROM customer WHERE c_custkey % 10 IN (3, 7, 9)""",
+        "s2_tips_csv_multiline": f"""{_MART} SELECT * REPLACE (CAST(business_id AS VARCHAR) AS business_id) FROM tip_fact
+            WHERE business_id % 10 NOT IN (3, 7, 9)""",
+        "s2_tips_rejects": f"""{_MART} SELECT 'tips' AS source,
+            CASE WHEN business_id % 10 = 3 THEN 'no business_id' ELSE 'no date' END AS reason,
+            CASE WHEN business_id % 10 = 3 THEN 'u,,' || {_QUOTED} || ',' || strftime(day, '%Y-%m-%d %H:%M:%S') || ',0'
+                 WHEN business_id % 10 = 7 THEN 'u,' || business_id || ',' || {_QUOTED} || ',some day,0'
+                 ELSE 'u,' || business_id END AS text
+            FROM tip WHERE business_id % 10 IN (3, 7, 9)""",
+        "k1_published_fact": _FACT,
         "s7_checkins_ndjson": f"{_DATES} SELECT CAST(business_id AS VARCHAR) AS business_id, {_DAY_TEXT} FROM stacked",
         "k1_staged_fact": _FACT,
         "l1_bucketed_cube": _Q2,

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from quartier.operators import dims
 from quartier.plans import jobs, olap, summaries
 from quartier.plans.mart import Store
+from quartier.plans.versions import Versions
 from quartier.session import SETTINGS
 from quartier.sinks import jdbc as sink
 from quartier.sources import files, jdbc
@@ -24,11 +25,14 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--root", required=True, help="folder of the staged tables")
         command.add_argument("--buckets", type=int, help="bucket the large tables on the business")
         command.add_argument("--prefix", default="", help="prefix of bucketed table names")
+        command.add_argument("--versions", action="store_true", help="publish the job's tables as one version")
         if connection:
             command.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE", help="connection option")
         return command
 
-    add("dimensions", "stage the four business tables").add_argument("--business", required=True)
+    dimensions = add("dimensions", "stage the four business tables")
+    dimensions.add_argument("--business", required=True)
+    dimensions.add_argument("--dense-keys", action="store_true", help="keys 1, 2, 3, ... that stay over loads, not hashes")
     reviews = add("reviews", "stage the reviews from their database", connection=True)
     reviews.add_argument("--table", required=True)
     reviews.add_argument("--partitions", type=int, default=100)
@@ -36,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     add("calendar", "stage the calendar from the staged reviews and show its years")
     fact = add("fact", "stage the monthly fact")
     fact.add_argument("--tips", required=True)
+    fact.add_argument("--tips-multi-line", action="store_true", help="tips hold quoted line breaks (a file is one task)")
+    fact.add_argument("--tips-escape", default="\\", help="what stands before a quote inside quotes")
     fact.add_argument("--checkins", required=True)
     load = add("load", "load the staged tables into a database", connection=True)
     load.add_argument("--batch-size", type=int, default=420)
@@ -54,11 +60,21 @@ def main(argv: Sequence[str] | None = None) -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    store = Store(spark, args.root, args.buckets, args.prefix)
     options = dict(option.split("=", 1) for option in getattr(args, "jdbc", []))
+    if not args.versions:
+        _run(args, spark, Store(spark, args.root, args.buckets, args.prefix), options)
+        return
+    versions = Versions(spark, args.root, args.buckets, args.prefix)
+    if args.job in ("load", "report"):  # these only read
+        _run(args, spark, versions.current(), options)
+        return
+    with versions.load() as store:
+        _run(args, spark, store, options)
 
+
+def _run(args: argparse.Namespace, spark: SparkSession, store: Store, options: dict[str, str]) -> None:
     if args.job == "dimensions":
-        jobs.build_dimensions(files.load_business(spark, args.business), store)
+        jobs.build_dimensions(files.check_business(spark, args.business), store, args.dense_keys)
     elif args.job == "reviews":
         table = jdbc.read_table_split(spark, options, args.table, args.partitions, args.partition_column)
         jobs.stage_reviews(table, store)
@@ -66,8 +82,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         jobs.build_calendar(store.load(jobs.REVIEW_SOURCE), store)
         dims.months_per_year(store.load("calendar")).show()
     elif args.job == "fact":
-        tips, checkins = files.load_tips(spark, args.tips), files.load_checkins(spark, args.checkins)
-        jobs.build_fact(store.load(jobs.REVIEW_SOURCE), tips, checkins, store)
+        tips = files.check_tips(spark, args.tips, multi_line=args.tips_multi_line, escape=args.tips_escape)
+        jobs.build_fact(store.load(jobs.REVIEW_SOURCE), tips, files.check_checkins(spark, args.checkins), store)
     elif args.job == "load":
         sink.load_warehouse(store.mart(), options, batch_size=args.batch_size, connections=args.connections)
     elif args.job == "summaries":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quartier.sources import staged
@@ -72,5 +73,14 @@ class Store:
             return self.spark.table(self.prefix + name)
         return staged.load(self.spark, self.root, name)
 
+    def load_if_there(self, name: str) -> DataFrame | None:
+        """The table, or None where none was saved yet."""
+        try:
+            return self.load(name)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise
+            return None
+
     def mart(self) -> Mart:
         return Mart(**{name: self.load(name) for name in TABLES})

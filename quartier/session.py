@@ -52,3 +52,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "kept")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of ``path``, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def drop_kept(*frames: DataFrame) -> None:
+    """Delete tables of :func:`cut_lineage` that nothing reads any more: what was made of them must be kept itself."""
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if folder.rsplit("/", 1)[-1].startswith("kept-"):
+                files, path = file_system(frame.sparkSession, folder)
+                files.delete(path, True)

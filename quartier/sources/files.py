@@ -48,6 +48,80 @@ def load_tips(
     return read_csv(spark, path, schema, ["business_id", "date"], multi_line, escape)
 
 
+#: Columns of a checked read: why a record is set aside (null for good ones), and its text.
+REASON, TEXT = "reject_reason", "reject_text"
+_CORRUPT = "_corrupt_record"
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+
+
+def _reason(required: list[str], kind: str) -> Column:
+    """Null where every required value is there; else whether the record parses at all, or what it lacks."""
+    absent = F.concat_ws(", ", *(F.when(F.col(name).isNull(), F.lit(name)) for name in required))
+    broken = F.col(_CORRUPT).isNotNull() & F.lit(kind != "")
+    return F.when(absent != "", F.when(broken, F.lit(kind)).otherwise(F.concat(F.lit("no "), absent)))
+
+
+def check_ndjson(spark: SparkSession, path: str, schema: T.StructType, required: list[str]) -> DataFrame:
+    """Every record of an NDJSON file, parsed once, with ``reject_reason`` and ``reject_text``; blank lines are no records.
+
+    A record is good when its required values are there and parse, whatever else is wrong with it. Write the result before
+    splitting it with :func:`accepted` and :func:`rejects`: then the file is read once.
+    """
+    lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    read = lines.select(F.col("value"), F.from_json("value", _with_corrupt(schema), options).alias("_read")).select("value", "_read.*")
+    read = read.withColumn(REASON, _reason(required, "not JSON"))
+    return read.withColumn(TEXT, F.when(F.col(REASON).isNotNull(), F.col("value"))).drop("value", _CORRUPT)
+
+
+def check_csv(
+    spark: SparkSession, path: str, schema: T.StructType, required: list[str], multi_line: bool = False, escape: str = "\\",
+) -> DataFrame:
+    """Every record of a CSV file with header, with ``reject_reason`` and ``reject_text``, as :func:`check_ndjson` does.
+
+    With ``multi_line`` a record may run over several lines, and is set aside as a whole; each file is then one task. The
+    text of a record that does not fit the schema is as in the file; of one that fits but lacks a value it is written anew.
+    """
+    rows = spark.read.schema(_with_corrupt(schema)).options(
+        header=True, sep=",", quote='"', escape=escape, mode="PERMISSIVE", multiLine=multi_line,
+        columnNameOfCorruptRecord=_CORRUPT, columnPruning=False,
+    ).csv(path)
+    written = {"quote": '"', "escape": escape, "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+    fields = F.to_csv(F.struct(*schema.fieldNames()), written)
+    rows = rows.withColumn(REASON, _reason(required, ""))
+    return rows.withColumn(TEXT, F.when(F.col(REASON).isNotNull(), F.coalesce(_CORRUPT, fields))).drop(_CORRUPT)
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The good records of a checked read; all rows of another frame."""
+    return checked.where(F.col(REASON).isNull()).drop(REASON, TEXT) if REASON in checked.columns else checked
+
+
+def rejects(checked: DataFrame, source: str) -> DataFrame:
+    """(source, reason, text) of the records set aside; none of a frame that was not read with checks."""
+    if REASON not in checked.columns:
+        checked = checked.select(F.lit("").alias(REASON), F.lit("").alias(TEXT)).limit(0)
+    return checked.where(F.col(REASON).isNotNull()).select(F.lit(source).alias("source"), F.col(REASON).alias("reason"), F.col(TEXT).alias("text"))
+
+
+def check_business(spark: SparkSession, path: str, attributes: T.DataType | None = None) -> DataFrame:
+    return check_ndjson(spark, path, schemas.business(attributes), ["business_id"])
+
+
+def check_checkins(spark: SparkSession, path: str) -> DataFrame:
+    """Check-in records; their dates are split by ``split_dates`` once rejects are apart."""
+    return check_ndjson(spark, path, schemas.CHECKIN, ["business_id", "date"])
+
+
+def check_tips(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.TIP, multi_line: bool = False, escape: str = "\\",
+) -> DataFrame:
+    return check_csv(spark, path, schema, ["business_id", "date"], multi_line, escape)
+
+
 def _rejects(lines: DataFrame, record: Column, required: list[str], source: str) -> DataFrame:
     read = lines.withColumn("_record", record)
     missing = [F.when(F.col("_record")[name].isNull(), F.lit(name)) for name in required]
@@ -58,7 +132,10 @@ def _rejects(lines: DataFrame, record: Column, required: list[str], source: str)
 
 
 def rejected_ndjson(spark: SparkSession, path: str, schema: T.StructType, required: list[str], source: str) -> DataFrame:
-    """(source, reason, text) of the lines that do not parse or lack a required value; blank lines are no records."""
+    """(source, reason, text) of the lines that do not parse or lack a required value; blank lines are no records.
+
+    For a file that is not read with checks: it is read once more.
+    """
     lines = spark.read.text(path).where(F.trim("value") != "")
     return _rejects(lines, F.from_json("value", schema, {"mode": "PERMISSIVE"}), required, source)
 
