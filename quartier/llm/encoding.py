@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
 from itertools import chain
+
 import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
@@ -55,6 +57,14 @@ def _is_latin(text: str) -> bool:
     return True
 
 
+def stop_is_apart(part: str) -> bool:
+    """Whether the last character of ``part``, a full stop or comma, is a piece of its own: it follows a Latin letter.
+
+    A letter whose lower case ends in a combining mark is none such: mark and stop are one piece.
+    """
+    return "A" <= part[-2:-1] < "\u0250" and part[-2].lower().isalpha()
+
+
 def task_encoder(path: str) -> PartEncoder:
     return kept_by_worker(("encoder", path), lambda: PartEncoder(path))
 
@@ -99,15 +109,16 @@ class LatinWords:
                 ranks[raw] = i
         return cls(ranks)
 
-    def ids(self, part: str) -> list[int] | None:
-        """The word's ids, or None for a part that is not such a word."""
-        if not part.isalpha() or len(part) > 200:
-            return None
-        raw = part.lower().encode()
-        if raw.translate(None, self.INNER):
-            return None
-        return self.merge(raw[:-1] + self.last[raw[-1]])
-
+    def many(self, parts: list[str]) -> list[list[int] | None]:
+        """Each word's ids, or None for a part that is not such a word."""
+        words = [k for k, part in enumerate(parts) if part.isalpha() and len(part) <= 200]
+        lowered = " ".join([parts[k] for k in words]).lower().encode().split(b" ")  # letters hold no space, in lower case too
+        found: list[list[int] | None] = [None] * len(parts)
+        inner, last, merge = self.INNER, self.last, self.merge
+        for k, raw in zip(words, lowered):
+            if not raw.translate(None, inner):
+                found[k] = merge(raw[:-1] + last[raw[-1]])
+        return found
 
 class PartEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; special strings are read as the library does by default."""
@@ -134,7 +145,7 @@ class PartEncoder:
     def many(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, as they are after a space."""
         if self.word:
-            found = [self.word.ids(p) for p in parts]
+            found = self.word.many(parts)
             rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
             raw = np.fromiter(chain.from_iterable(ids for ids in found if ids is not None), dtype="<u4").tobytes()
             out, at = [], 0
@@ -149,7 +160,7 @@ class PartEncoder:
         """How many ids each part has."""
         if not self.word:
             return [len(ids) // 4 for ids in self.many(parts)]
-        found = [self.word.ids(p) for p in parts]
+        found = self.word.many(parts)
         rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
         return [len(next(rest)) // 4 if ids is None else len(ids) for ids in found]
 
@@ -169,21 +180,34 @@ class PartEncoder:
                 found.update(zip(alone, (raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends))))
         return [found[p] if p in found else self._ids(lead + p) for p in parts]
 
-    def _learn(self, split: list[list[str]]) -> None:
-        met = set().union(*split)
-        new = [p for p in met if p not in self.memo]
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of distinct parts that are not remembered."""
         if len(self.memo) + len(new) > MEMO_PARTS:  # short parts come most often
             self.memo = {p: ids for p, ids in self.memo.items() if len(p) < 8}
-            new = [p for p in met if p not in self.memo]
         if self.keeps_spaces:  # what begins with white space depends on the part before it
-            self.memo.update((p, None) for p in new if not p or p[0].isspace())
+            self.memo.update((p, b"") for p in new if not p or p[0].isspace())
             new = [p for p in new if p and not p[0].isspace()]
-        # A full stop or comma after a Latin letter is a piece of its own in both vocabularies.
-        stopped = [p for p in new if p[-1:] in self.stops and "A" <= p[-2:-1] < "\u0250" and p[-2].isalpha()]
-        core = {p: p[:-1] for p in stopped}
+        core = {p: p[:-1] for p in new if p[-1:] in self.stops and stop_is_apart(p)}
         new = [p for p in {core.get(p, p) for p in new} if p not in self.memo]
         self.memo.update(zip(new, self.many(new)))
-        self.memo.update((p, self.memo[core[p]] + self.stops[p[-1]]) for p in stopped)
+        self.memo.update((p, self.memo[c] + self.stops[p[-1]]) for p, c in core.items())
+
+    def _found(self, split: Iterable[list[str]]) -> list[tuple[list[str], list[bytes]]]:
+        """Each text's parts and their ids, from the memo once the new ones are in it."""
+        get = self.memo.get
+        out, new = [], {}
+        for parts in split:
+            found = list(map(get, parts))
+            out.append((parts, found))
+            if None in found:
+                new.update((part, None) for part, ids in zip(parts, found) if ids is None)
+        if new:
+            self._learn(list(new))
+            memo = self.memo
+            for parts, found in out:
+                if None in found:
+                    found[:] = [memo[part] if ids is None else ids for part, ids in zip(parts, found)]
+        return out
 
     def _spaced(self, text: str) -> bytes:
         """The ids of a text with runs of white space, where these are kept."""
@@ -202,19 +226,16 @@ class PartEncoder:
         return [ids(t).astype("<u4").tobytes() if k in plain else others[k] for k, t in enumerate(shown)]
 
     def _by_parts(self, shown: list[str]) -> list[bytes]:
-        split = [(text if self.keeps_spaces else text.replace("\n", " ")).split(" ") for text in shown]
-        self._learn(split)
         if not self.keeps_spaces:
-            return [b"".join([self.memo[p] for p in parts]) for parts in split]
+            return [b"".join(ids) for _, ids in self._found(text.replace("\n", " ").split(" ") for text in shown)]
         out = []
-        for text, parts in zip(shown, split):
-            ids = [self.memo[p] for p in parts[1:]]
-            if not parts[0] or None in ids:
+        for text, (parts, ids) in zip(shown, self._found(text.split(" ") for text in shown)):
+            if not parts[0] or not all(ids):  # parts that begin with white space have no ids of their own
                 out.append(self._spaced(text))
-            else:
-                if parts[0] not in self.first:
-                    if len(self.first) >= MEMO_PARTS:
-                        self.first.clear()
-                    self.first[parts[0]] = self._ids(parts[0])
-                out.append(self.first[parts[0]] + b"".join(ids))
+                continue
+            if parts[0] not in self.first:
+                if len(self.first) >= MEMO_PARTS:
+                    self.first.clear()
+                self.first[parts[0]] = self._ids(parts[0])
+            out.append(self.first[parts[0]] + b"".join(ids[1:]))
         return out
