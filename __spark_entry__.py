@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartier import testmart
 from quartier.operators import dims, facts
-from quartier.plans import jobs, olap, summaries
+from quartier.plans import increments, jobs, layouts, olap, states, summaries
 from quartier.plans.mart import Mart, Store
 from quartier.plans.versions import Versions
 from quartier.session import cut_lineage, scratch_path
@@ -234,6 +235,82 @@ def _refreshed(name: str) -> Query:
     return run
 
 
+def _by_month(spark: SparkSession, sf_dir: str) -> Mart:
+    """The mart with the fact in folders of months."""
+    mart = testmart.build_mart(spark, sf_dir)
+    path = scratch_path(spark, "months")
+    fact = cut_lineage(mart.performance_fact)
+    layouts.write_by_month(fact, path)
+    return _with_fact(mart, layouts.read_by_month(spark, path, fact.schema))
+
+
+def _with_fact(mart: Mart, fact: DataFrame) -> Mart:
+    return Mart(mart.business, mart.location, mart.category, mart.business_category, mart.calendar, fact)
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters of one state over two years, from the copy clustered on location and month."""
+    mart = testmart.build_mart(spark, sf_dir)
+    copy = layouts.ClusteredFact(spark, scratch_path(spark, "clustered"))
+    copy.write(cut_lineage(mart.performance_fact), mart.location)
+    rows = copy.rows(["ASIA"], 199501, 199612)
+    return olap.quarterly_growth(rows, mart.location, mart.calendar, states=["ASIA"])
+
+
+def _looked_up(question: Callable[[layouts.Lookups], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        copies = layouts.Lookups(spark, scratch_path(spark, "lookups"))
+        copies.write(testmart.build_mart(spark, sf_dir))
+        return question(copies)
+
+    return run
+
+
+def _late(key: str, late: bool) -> Column:
+    """Every seventh event comes late, and so do all of two months."""
+    return ((F.col(key) % 7 == 0) | F.col("date").cast("date").between("1995-03-01", "1995-04-30")) == F.lit(late)
+
+
+@lru_cache(maxsize=2)
+def _loaded_in_two(spark: SparkSession, sf_dir: str) -> tuple[increments.MonthlyFact, increments.Change, Mart, DataFrame]:
+    """The fact by months after a first load without the late events, and their load after it; four queries share it."""
+    source = testmart.Inputs(spark, sf_dir)
+    mart = testmart.build_mart(spark, sf_dir)
+    dated = {kind: cut_lineage(events) for kind, events in zip(increments.KINDS, (source.reviews(), source.tips(), source.checkins()))}
+    keys = {kind: "review_id" if kind == "reviews" else "business_id" for kind in dated}
+    monthly = increments.MonthlyFact(spark, scratch_path(spark, "increments"), cut_lineage(mart.location))
+
+    def load(batch: str, late: bool) -> increments.Change:
+        return monthly.add(batch, *(events.where(_late(keys[kind], late)) for kind, events in dated.items()))
+
+    load("first", False)
+    first = cut_lineage(monthly.fact())
+    return monthly, load("late", True), mart, first
+
+
+def _fact_in_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded_in_two(spark, sf_dir)[0].fact().drop("location_id")
+
+
+@lru_cache(maxsize=2)
+def _merged_states(spark: SparkSession, sf_dir: str) -> tuple[states.SummaryStates, Mart]:
+    """The states of the summaries after the first load, merged with what the late events changed."""
+    _, change, mart, first = _loaded_in_two(spark, sf_dir)
+    kept = states.SummaryStates(Store(spark, scratch_path(spark, "states")))
+    whole = _with_fact(mart, first)
+    kept.build(whole)
+    kept.merge(change.before, change.after, whole)
+    return kept, mart
+
+
+def _merged(summary: Callable[[states.SummaryStates, Mart], DataFrame]) -> Query:
+    return lambda spark, sf_dir: summary(*_merged_states(spark, sf_dir))
+
+
+def _documents_for_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+
+
 def _sink_rows(name: str) -> Callable[[Mart], DataFrame]:
     """Rows as they are handed to the database, without the surrogate keys."""
 
@@ -320,6 +397,20 @@ def _library_queries() -> dict[str, Query]:
         "k3_sink_fact": _on_mart(_sink_rows("performance_fact")),
         "k3_sink_calendar": _on_mart(_sink_rows("calendar")),
         "k5_sink_business": _on_mart(_sink_rows("business")),
+        "k3_sink_text_limit": lambda spark, sf_dir: sink.sink_values(_documents_for_sink(spark, sf_dir)),
+        "k3_sink_texts_aside": lambda spark, sf_dir: sink.split_long_texts(_documents_for_sink(spark, sf_dir))[1].select(
+            "doc_id", "too_long", F.octet_length("text").alias("bytes")
+        ),
+        # Copies for other questions, late events, summaries that merge.
+        "l1_year_by_month": lambda spark, sf_dir: _quarters(_by_month(spark, sf_dir), years=[1995]),
+        "l1_clustered_quarters": _clustered,
+        "l1_lookup_city": _looked_up(lambda copies: copies.places("ASIA", "NATION_2").drop("location_id")),
+        "l1_lookup_open_stars": _looked_up(lambda copies: copies.businesses(3.5).drop("attributes")),
+        "l1_lookup_category": _looked_up(lambda copies: copies.of_category("STANDARD").select("business_id")),
+        "t14_fact_by_changed_months": _fact_in_two,
+        "m1_merged_after_change": _merged(lambda kept, mart: kept.state_years()),
+        "m2_merged_after_change": _merged(lambda kept, mart: kept.gems_by_city()),
+        "m3_merged_after_change": _merged(lambda kept, mart: kept.category_stats(mart.category)),
     }
 
 
@@ -616,4 +707,18 @@ def _library_sql() -> dict[str, str]:
         "k5_sink_business": f"""{_MART} SELECT CAST(business_id AS DECIMAL(19,0)) AS "BUSINESS_ID", name AS "NAME",
             CAST(stars AS DECIMAL(19,4)) AS "STARS", CAST(is_open AS DECIMAL(19,0)) AS "IS_OPEN",
             attributes AS "ATTRIBUTES" FROM business""",
+        "k3_sink_text_limit": """SELECT CAST(doc_id AS DECIMAL(19,0)) AS doc_id, nullif(source, '') AS source,
+            CASE WHEN strlen(text) <= 4000 THEN nullif(text, '') ELSE left(text, list_max(
+                list_filter(range(1000, 4001), lambda n: strlen(left(text, n)) <= 4000))) END AS text FROM documents""",
+        "k3_sink_texts_aside": """SELECT doc_id, 'text' AS too_long, CAST(strlen(text) AS INTEGER) AS bytes
+            FROM documents WHERE strlen(text) > 4000""",
+        "l1_year_by_month": _quarters_sql("year = 1995"),
+        "l1_clustered_quarters": _quarters_sql("state = 'ASIA' AND year IN (1995, 1996)"),
+        "l1_lookup_city": f"{_MART} SELECT * FROM location WHERE state = 'ASIA' AND city = 'NATION_2'",
+        "l1_lookup_open_stars": f"{_MART} SELECT * EXCLUDE (attributes) FROM business WHERE is_open = 1 AND stars >= 3.5",
+        "l1_lookup_category": f"{_MART} SELECT business_id FROM bridge WHERE category_name = 'STANDARD'",
+        "t14_fact_by_changed_months": _FACT,
+        "m1_merged_after_change": _M1,
+        "m2_merged_after_change": _M2,
+        "m3_merged_after_change": _M3,
     }

@@ -209,11 +209,15 @@ def quarterly_growth(
     calendar: DataFrame,
     states: list[str] | None = None,
     growth: bool = True,
+    years: list[int] | None = None,
 ) -> DataFrame:
     """Q5: reviews by state and quarter beside the state's previous quarter that has rows, and the growth in percent.
 
-    The window runs over the totals: the quarters of one state.
+    The window runs over the totals: the quarters of one state. With ``years`` only these are looked at; over a fact in
+    folders of months (``layouts``) the others are not read.
     """
+    if years is not None:
+        calendar = calendar.filter(F.col("year").isin(years))
     places = location.select("business_id", "state")
     if states is not None:
         places = places.filter(F.col("state").isin(states))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,9 @@ _DIGITS = {
     T.FloatType: (19, 4),
     T.DoubleType: (19, 4),
 }
-_TEXT = "VARCHAR(4000)"
+#: Bytes that the database's text type holds (fixed value).
+TEXT_BYTES = 4000
+_TEXT = f"VARCHAR({TEXT_BYTES})"
 
 
 def _number(kind: T.DataType) -> str | None:
@@ -42,6 +44,29 @@ def column_types(df: DataFrame) -> str:
     return ", ".join(declared)
 
 
+def cut_text(value: Column, limit: int = TEXT_BYTES) -> Column:
+    """The longest beginning of a text that has at most ``limit`` UTF-8 bytes and no broken character."""
+    raw = F.encode(value, "utf-8")
+
+    def goes_on(place: int) -> Column:
+        """Whether the byte at ``place`` belongs to the character before it: it is between 0x80 and 0xBF."""
+        return F.hex(F.substring(raw, place, 1)).between("80", "BF")
+
+    # A character has four bytes at most, so one of four places begins one.
+    end = F.lit(max(limit - 3, 0))
+    for back in (2, 1, 0):
+        if limit - back >= 0:
+            end = F.when(~goes_on(limit - back + 1), limit - back).otherwise(end)
+    return F.when(F.octet_length(value) <= limit, value).otherwise(F.decode(F.substring(raw, F.lit(1), end), "utf-8"))
+
+
+def split_long_texts(df: DataFrame, limit: int = TEXT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Rows whose texts all fit, and the others with the names of the columns that do not, in ``too_long``."""
+    texts = [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
+    over = F.concat_ws(", ", *(F.when(F.octet_length(name) > limit, F.lit(name)) for name in texts))
+    return df.where(over == ""), df.withColumn("too_long", over).where(F.col("too_long") != "")
+
+
 def _sink_value(field: T.StructField) -> Column:
     value = F.col(field.name)
     if isinstance(field.dataType, T.BooleanType):
@@ -51,12 +76,15 @@ def _sink_value(field: T.StructField) -> Column:
         # Rounds half-up here: some databases truncate surplus digits instead.
         value = value.cast(kind)
     elif isinstance(field.dataType, T.StringType):
-        value = F.nullif(value, F.lit(""))
+        value = F.nullif(cut_text(value), F.lit(""))
     return value.alias(field.name)
 
 
 def sink_values(df: DataFrame) -> DataFrame:
-    """Values as the database keeps them: numbers in its number type, empty text as NULL."""
+    """Values as the database keeps them: numbers in its number type, texts cut to its limit of bytes, empty text as NULL.
+
+    Use :func:`split_long_texts` first where a row with a longer text shall be set aside instead.
+    """
     return df.select(*[_sink_value(field) for field in df.schema])
 
 
@@ -118,8 +146,16 @@ def load_warehouse(
     tables: Mapping[str, str] = TABLES,
     batch_size: int = 420,
     connections: int | None = CONNECTIONS,
+    set_aside: Callable[[DataFrame, str], None] | None = None,
 ) -> None:
-    """Load the six tables, dimensions first and the fact last."""
+    """Load the six tables, dimensions first and the fact last.
+
+    Texts over the database's limit are cut at a character's edge. With ``set_aside`` (``Store.save``, say) their rows are not loaded
+    but handed to it, with the name of the table and ``_too_long``.
+    """
     for name in TABLES:
         rows = sink_shape(getattr(mart, name), name)
+        if set_aside is not None:
+            rows, long = split_long_texts(rows)
+            set_aside(long, f"{name}_too_long")
         write_table(sink_values(rows), options, tables[name], column_types(rows), batch_size, connections)

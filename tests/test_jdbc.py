@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from quartier.plans.mart import TABLES, Mart
@@ -139,3 +140,19 @@ def test_tables_are_loaded_in_order(spark, monkeypatch):
     assert frames["FACT_PERFORMANCE"][0].columns == ["TIME_ID", "SCORE_MEAN"]
     assert frames["FACT_PERFORMANCE"][0].head().SCORE_MEAN == Decimal("1.2346")
     assert frames["DIM_BUSINESS"][1] == "BUSINESS_ID DECIMAL(19, 0), ATTRIBUTES VARCHAR(4000)"
+
+
+@pytest.mark.parametrize("limit", [0, 1, 2, 3, 4, 5, 6, 11])
+def test_texts_are_cut_between_characters(spark, limit):
+    texts = ["", "abc", "aé", "éé", "a😀b", "😀😀", "中文字", "ab中", "abcdefghijklm", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(sink.cut_text(df.t, limit)).collect()]
+    want = [t if t is None else t.encode()[:limit].decode(errors="ignore") for t in texts]
+    assert got == want
+
+
+def test_rows_with_long_texts_are_set_aside(spark):
+    df = spark.createDataFrame([(1, "é" * 3, "x"), (2, "é", None), (3, "ééé", "abcdefg"), (4, None, "")], "k int, a string, b string")
+    fit, long = sink.split_long_texts(df, 5)
+    assert sorted(r.k for r in fit.collect()) == [2, 4]
+    assert sorted((r.k, r.too_long) for r in long.collect()) == [(1, "a"), (3, "a, b")]

@@ -1,0 +1,127 @@
+"""Copies of the tables for other questions: what is skipped, and that nothing is lost."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from quartier import testmart
+from quartier.plans import layouts, olap
+from quartier.plans.mart import TABLES, Mart
+from quartier.session import cut_lineage
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def mart(spark):
+    built = testmart.build_mart(spark, SF_DIR)
+    return Mart(**{name: cut_lineage(getattr(built, name)) for name in TABLES})
+
+
+def _plan(df) -> str:
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def _row_groups(folder):
+    for file in sorted(Path(folder).glob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        for k in range(meta.num_row_groups):
+            columns = [meta.row_group(k).column(c) for c in range(meta.num_columns)]
+            yield meta.row_group(k).num_rows, {c.path_in_schema: c.statistics for c in columns}
+
+
+def _scanned(df) -> int:
+    """Rows that a scan without a shuffle above it hands on: those of the row groups that were read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    return plan.collectLeaves().apply(0).metrics().get("numOutputRows").get().value()
+
+
+def test_morton_keeps_both_bits(spark):
+    rows = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (65535, 65535), (5, 3)], "x int, y int")
+    got = [r[0] for r in rows.select(layouts.morton(F.col("x"), F.col("y"))).collect()]
+    assert got == [0, 1, 2, (1 << 32) - 1, 0b011011]
+
+
+def test_one_year_reads_its_months_only(spark, mart, tmp_path, as_rows):
+    path = str(tmp_path / "months")
+    layouts.write_by_month(mart.performance_fact, path)
+    fact = layouts.read_by_month(spark, path, mart.performance_fact.schema)
+    assert fact.schema == mart.performance_fact.schema and as_rows(fact) == as_rows(mart.performance_fact)
+    report = olap.quarterly_growth(fact, mart.location, mart.calendar, years=[1996])
+    assert "dynamicpruning" in _plan(report)
+    whole = olap.quarterly_growth(mart.performance_fact, mart.location, mart.calendar, years=[1996])
+    assert as_rows(report) == as_rows(whole) and report.count() > 0
+
+
+def test_some_months_are_replaced(spark, mart, tmp_path):
+    path = str(tmp_path / "months")
+    layouts.write_by_month(mart.performance_fact, path)
+    before = {r["time_id"]: r["count"] for r in mart.performance_fact.groupBy("time_id").count().collect()}
+    layouts.write_by_month(mart.performance_fact.where("time_id = 199603").limit(2), path, months_only=True)
+    fact = layouts.read_by_month(spark, path, mart.performance_fact.schema)
+    assert {r["time_id"]: r["count"] for r in fact.groupBy("time_id").count().collect()} == before | {199603: 2}
+
+
+def test_a_state_and_some_months_read_few_row_groups(spark, mart, tmp_path, as_rows):
+    copy = layouts.ClusteredFact(spark, str(tmp_path / "clustered"))
+    copy.write(mart.performance_fact, mart.location, row_group_bytes=8 << 10)
+    state, first, last = "ASIA", 199601, 199612
+    rows = copy.rows([state], first, last)
+    own = mart.location.where(F.col("state") == state).select("business_id")
+    want = mart.performance_fact.where(F.col("time_id").between(first, last)).join(own, "business_id", "left_semi")
+    assert as_rows(rows.select(*want.columns)) == as_rows(want) and rows.count() > 100
+    one = copy.rows([state], first, last, cities=["NATION_7"])
+    assert 0 < one.count() < rows.count()
+    assert copy.rows(["nowhere"], first, last).count() == 0
+    assert "PushedFilters" in _plan(rows) and "GreaterThanOrEqual(location_rank" in _plan(rows)
+
+    run = spark.read.parquet(f"{copy.path}/places").where(F.col("state") == state).agg(F.min("first"), F.max("last")).first()
+    groups = list(_row_groups(f"{copy.path}/rows"))
+    assert len(groups) > 50
+    kept = [
+        n for n, stats in groups
+        if stats["location_rank"].max >= run[0] and stats["location_rank"].min <= run[1]
+        and stats["time_id"].max >= first and stats["time_id"].min <= last
+    ]
+    assert len(kept) < 0.25 * len(groups) and sum(kept) >= rows.count()
+    assert _scanned(rows) <= sum(kept) < 0.25 * mart.performance_fact.count()
+
+
+def test_single_values_read_few_row_groups(spark, mart, tmp_path, as_rows):
+    copies = layouts.Lookups(spark, str(tmp_path / "lookups"))
+    copies.write(mart, row_group_bytes=2 << 10)
+    for name in layouts.LOOKUPS:
+        assert as_rows(copies.table(name)) == as_rows(getattr(mart, name))
+    city = copies.places("ASIA", "NATION_7")
+    assert city.count() == mart.location.where("city = 'NATION_7'").count() > 0
+    assert "EqualTo(state,ASIA)" in _plan(city) and _scanned(city) < 0.5 * mart.location.count()
+    good = copies.businesses(4.5)
+    assert good.count() == mart.business.where("is_open = 1 AND stars >= 4.5").count()
+    assert "GreaterThanOrEqual(stars,4.5)" in _plan(good)
+    assert _scanned(good) < 0.5 * mart.business.count()
+    category = copies.of_category("PROMO")
+    names = mart.business_category.join(mart.category, "category_id").where("category_name = 'PROMO'")
+    assert category.count() == names.count() > 0 and copies.of_category("nothing").count() == 0
+    assert _scanned(category) < 0.6 * mart.business_category.count()
+
+
+def test_a_bloom_filter_skips_where_order_does_not_help(spark, tmp_path):
+    """One file of rows in no order of their keys: only Bloom filters can tell that a key is not in a row group."""
+    rows = spark.range(40_000).select((F.xxhash64("id") % 10**12).alias("business_id"), F.lit("x" * 40).alias("name"))
+    some = rows.where("id = 77").first()["business_id"] if "id" in rows.columns else rows.first()["business_id"]
+    scanned = {}
+    for bloom in (True, False):
+        path = str(tmp_path / str(bloom))
+        writer = rows.coalesce(1).write.option("parquet.block.size", 32 << 10)
+        if bloom:
+            writer = writer.option("parquet.bloom.filter.enabled#business_id", "true")
+        writer.parquet(path)
+        found = spark.read.parquet(path).where(F.col("business_id") == some)
+        scanned[bloom] = _scanned(found)
+        assert found.count() == 1
+    assert scanned[True] < 0.3 * scanned[False]
