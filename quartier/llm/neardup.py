@@ -14,7 +14,7 @@ documents share open none.
 Overlaps within a list. Emitting all pairs of a list would be quadratic in a group of copies. First each list has its members
 meet two pivots: the one whose retained values are most common altogether, which in a group of edited copies is the original,
 and one picked at random for each list. Linked members are joined to components. Then members of one list in different components meet each other, which leaves no candidate out: pairs in one
-component cannot change any component. In long lists this is done in tiles, which report only pairs that may be linked.
+component cannot change any component. In long lists this is done in tiles, which report links that join their members.
 
 Pairs are filtered by the estimate from the union's sketch, and verified by the similarity of the full sets.
 """
@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartier.llm.arrow import kept_by_worker, map_rows
+from quartier.llm.groups import components
 from quartier.llm.words import WordHashes, mix, shingles, split
-from quartier.session import cut_lineage
+from quartier.session import cut_lineage, drop_kept
 
 WIDTH = 5
 SKETCH = 128
@@ -44,6 +45,10 @@ TRIED = 3
 #: Lists of more members than this are worked on in tiles of about so many.
 SHORT = 48
 TILE = 512
+TILE_VALUES = 1 << 21
+#: Pairs of one class that are verified in one slice, and members of a list that meet its pivots in one part, on average.
+SLICE = 64
+PART = 256
 
 
 def shingle_set(text: str | None, hashes: WordHashes, width: int = WIDTH) -> np.ndarray:
@@ -172,12 +177,21 @@ def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_rows(columns, "a long, b long, n_a long, n_b long, estimate double", work)
 
 
+def _dealt(pairs: DataFrame, sets: DataFrame, end: str) -> DataFrame:
+    """``pairs`` with the set of their end ``end``; a class with many pairs has its set in as many slices of ``SLICE`` pairs."""
+    slices = pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("_slices"))
+    sliced = pairs.join(slices, end).withColumn("_slice", F.pmod(F.xxhash64("a", "b"), "_slices"))
+    number = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)).alias("_slice")
+    own = sets.toDF(end, f"set_{end}").join(slices, end).select(end, f"set_{end}", number)
+    return sliced.drop("_slices").join(own, [end, "_slice"]).drop("_slice")
+
+
 def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs``: similarity of the full sets. Pairs of small sets are exact already."""
+    """Links (a, b) among ``pairs``, kept: similarity of the full sets. Pairs of small sets are exact already."""
     small = F.greatest("n_a", "n_b") <= SKETCH
     large = cut_lineage(pairs.where(~small).select("a", "b"))
     sets = texts(large.select(F.col("a").alias("cid")).union(large.select("b")).distinct())
-    joined = large.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    joined = _dealt(_dealt(large, sets, "a"), sets, "b")
 
     def work():
         def step(a: list, b: list, left: list, right: list) -> Iterator[tuple]:
@@ -189,25 +203,9 @@ def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], percent
         return step
 
     links = map_rows(joined.select("a", "b", "set_a", "set_b"), "a long, b long", work)
-    return links.union(pairs.where(small).select("a", "b"))
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(cid, comp) of every node of ``links`` (a, b): the least node it is linked with over any number of links.
-
-    Each round takes the least label among a node's neighbours and then that label's own label, so rounds grow with the
-    logarithm of the longest chain; each is kept as a table.
-    """
-    both = cut_lineage(links.union(links.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).select(F.col("a").alias("cid"), "comp"))
-    while True:
-        near = both.join(labels.toDF("b", "comp"), "b").groupBy("a").agg(F.min("comp").alias("least"))
-        least = labels.join(near.withColumnRenamed("a", "cid"), "cid").select("cid", "comp", F.least("comp", "least").alias("least"))
-        jump = labels.toDF("least", "further")
-        new = cut_lineage(least.join(jump, "least").select("cid", "comp", F.least("least", "further").alias("new")))
-        labels = new.select("cid", F.col("new").alias("comp"))
-        if new.where("new <> comp").isEmpty():
-            return labels
+    links = cut_lineage(links.union(pairs.where(small).select("a", "b")))
+    drop_kept(large, sets)
+    return links
 
 
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -217,18 +215,23 @@ def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
 def classes_and_links(
     docs: DataFrame, percent: int, id_col: str, text_col: str, width: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with their classes, classes with their least id, and labels of the classes that are linked with others."""
-    rows = cut_lineage(sketches(docs, id_col, text_col, width))
-    classes = rows.where("n > 0").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("sketch").alias("sketch")
-    )
+    """Rows with their classes, classes with their least id, and labels of the classes that are linked with others; all kept."""
+    sketched = cut_lineage(sketches(docs, id_col, text_col, width))
+    rows = cut_lineage(sketched.drop("sketch"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash")))
+    reps = rows.where("n > 0").groupBy("cid").agg(first.alias("_own"))
+    reps = cut_lineage(reps.select("cid", F.col("_own.doc_id").alias("rep"), F.col("_own.text_hash").alias("rep_hash")))
+    classes = sketched.where("n > 0").groupBy("cid").agg(F.min("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes)
+    drop_kept(sketched)
 
     def texts(wanted: DataFrame) -> DataFrame:
-        """(cid, set) of the wanted classes, from the text of the document of least id."""
-        source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        chosen = wanted.join(classes.select("cid", "rep"), "cid")
-        joined = source.join(chosen, source["id"].eqNullSafe(chosen["rep"])).select("cid", "text")
+        """(cid, set) of the wanted classes, kept, from a text of each class."""
+        text = F.col(text_col).cast("string")
+        source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+        chosen = wanted.join(reps, "cid")
+        same = source["id"].eqNullSafe(chosen["rep"]) & (source["hash"] == chosen["rep_hash"])
+        joined = source.join(chosen, same).select("cid", "text").dropDuplicates(["cid"])
 
         def work():
             hashes = kept_by_worker(("words",), WordHashes)
@@ -241,13 +244,19 @@ def classes_and_links(
 
             return step
 
-        return cut_lineage(map_rows(joined, "cid long, set binary", work).dropDuplicates(["cid"]))
+        return cut_lineage(map_rows(joined, "cid long, set binary", work))
 
+    # Most values are in one list only: they are counted first, in small rows, and go no further.
     lists = _lists(classes, _rarity(classes), percent)
+    counts = lists.groupBy("value").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"), F.count(F.lit(1)).alias("m"))
+    shared = cut_lineage(lists.join(counts.where("m > 1").drop("m"), "value"))
     own = F.struct("cid", "n")
     hub, other = F.max_by(own, F.struct("common", "cid")), F.min_by(own, F.xxhash64("value", "cid"))
-    heads = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.array(hub, other).alias("pivots"))
-    lists = cut_lineage(lists.drop("common").join(heads.where("members > 1").drop("members"), "value"))
+    pivots = shared.groupBy("value", "parts").agg(F.array(hub, other).alias("pivots"))
+    # A long list's members are dealt over parts to meet its pivots.
+    number = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_part")
+    part = F.pmod(F.xxhash64("cid"), "parts").alias("_part")
+    lists = shared.select("value", "cid", "n", part).join(pivots.select("value", "pivots", number), ["value", "_part"])
 
     first = lists.select("cid", "n", F.explode("pivots").alias("p")).where("cid <> p.cid").where(_near_sizes("n", "p.n", percent))
     first = first.select(F.col("cid").alias("a"), F.col("p.cid").alias("b"), F.col("n").alias("n_a"), F.col("p.n").alias("n_b"))
@@ -255,67 +264,101 @@ def classes_and_links(
     # Each class's likeliest links join most of them; what stays apart meets again below.
     order = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("estimate"), "b"))
     best = cut_lineage(met.withColumn("_order", order).where(F.col("_order") <= TRIED))
-    links = cut_lineage(_verified(best, texts, percent))
+    links = _verified(best, texts, percent)
     labels = components(links)
 
-    told = _labelled(lists.select("value", "cid", "n"), labels)
+    told = _labelled(shared.select("value", "cid", "n"), labels)
     opened = told.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y"))
     told = cut_lineage(told.join(opened.where("x < y").select("value", "m"), "value"))
+    drop_kept(shared, best)
     left, right = _sides(told.where(F.col("m") <= SHORT))
     pairs = left.join(right, "value").where("comp_a < comp_b").where(_near_sizes("n_a", "n_b", percent))
     of_short = _filtered(pairs.select("a", "b", "n_a", "n_b").distinct(), classes, percent)
-    of_long = _long_lists(told.where(F.col("m") > SHORT), classes, percent)
-    rest = cut_lineage(of_short.union(of_long).groupBy("a", "b", "n_a", "n_b").agg(F.max("estimate").alias("estimate")))
-    more = cut_lineage(_verified(rest, texts, percent))
-    return rows, classes, components(links.union(more))
+    rest = cut_lineage(of_short)
+    more = _long_lists(told.where(F.col("m") > SHORT), classes, texts, percent).union(_verified(rest, texts, percent))
+    drop_kept(told, classes)
+    return rows, reps, components(links.union(more))
 
 
-def _long_lists(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b, estimate) of long lists whose sketches leave a link open, without a row for any other pair.
+def _candidates(group: pd.DataFrame, sketch: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Places of the pairs of one meeting whose sketches leave a link open and that no other list reports.
 
-    A list's members are dealt into tiles, and two tiles meet in one task, which counts shared values of all their pairs by
-    products of indicator matrices. A pair is reported by one list only: that of the least value both are listed under.
+    Shared values are counted for all pairs by products of indicator matrices over the values that two members have. A pair
+    is reported by one list only: that of the least value both are listed under.
+    """
+    value, same = int(group["value"].iloc[0]), group["lo"].iloc[0] == group["hi"].iloc[0]
+    first = np.flatnonzero(group["t"] == group["lo"])
+    second = first if same else np.flatnonzero(group["t"] == group["hi"])
+    cids, sizes, comps = (group[c].to_numpy() for c in ("cid", "n", "comp"))
+    least = np.array([shared_at_least(int(n), percent) for n in sizes])
+    owner = np.repeat(np.arange(len(group)), [len(own) for own in sketch])
+    _, code, count = np.unique(np.concatenate(sketch), return_inverse=True, return_counts=True)
+    shared_by_two = count[code] > 1
+    owner, code = owner[shared_by_two], (np.cumsum(count > 1) - 1)[code[shared_by_two]]
+    shared = np.zeros((len(first), len(second)), dtype=np.float32)
+    for start in range(0, int((count > 1).sum()), 4096):
+        here = (code >= start) & (code < start + 4096)
+        block = np.zeros((len(group), 4096), dtype=np.float32)
+        block[owner[here], code[here] - start] = 1
+        shared += block[first] @ block[second].T
+    open_ = shared >= np.maximum(least[first][:, None], least[second][None, :])
+    open_ &= comps[first][:, None] != comps[second][None, :]
+    small, large = np.minimum(sizes[first][:, None], sizes[second][None, :]), np.maximum(sizes[first][:, None], sizes[second][None, :])
+    open_ &= 100 * small >= percent * large
+    listed = [set(own) for own in group["listed"]]
+    for p, q in zip(*(place.tolist() for place in np.nonzero(open_))):
+        p, q = int(first[p]), int(second[q])
+        if same and cids[p] >= cids[q] or min(listed[p] & listed[q]) != value:
+            continue
+        if maybe_similar(sketch[p].tobytes(), sketch[q].tobytes(), int(sizes[p]), int(sizes[q]), percent) is not None:
+            yield p, q
+
+
+def _long_lists(lists: DataFrame, classes: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links (a, b), kept, among the members of long lists that join all that are linked, without a row for any pair.
+
+    A list's members are dealt into tiles, and two tiles meet in one task. The members of pairs that sketches leave open meet
+    once more with their full sets; what comes out are fewer links than members.
     """
     listed = lists.groupBy("cid").agg(F.collect_set("value").alias("listed"))  # as many as a sketch has values, at most
     rows = lists.join(listed, "cid").join(classes.select("cid", "sketch"), "cid")
-    tiles = F.ceil(F.col("m") / TILE)
-    rows = rows.withColumn("t", F.pmod(F.xxhash64("cid"), tiles))
-    other = F.sequence(F.lit(0).cast("long"), tiles - 1)
+    # Tiles hold so many members, and so many values of their full sets, on average.
+    total = lists.groupBy("value").agg(F.ceil(F.greatest(F.count(F.lit(1)) / TILE, F.sum("n") / TILE_VALUES)).alias("tiles"))
+    rows = rows.join(total, "value").withColumn("t", F.pmod(F.xxhash64("cid"), "tiles"))
+    other = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
     rows = rows.withColumn("u", F.explode(other)).withColumns({"lo": F.least("t", "u"), "hi": F.greatest("t", "u")})
-
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        value, same = int(group["value"].iloc[0]), group["lo"].iloc[0] == group["hi"].iloc[0]
-        group = group.reset_index(drop=True)
-        first = group.index[group["t"] == group["lo"]].to_numpy()
-        second = first if same else group.index[group["t"] == group["hi"]].to_numpy()
-        cids, sizes, comps = (group[c].to_numpy() for c in ("cid", "n", "comp"))
-        least = np.array([shared_at_least(int(n), percent) for n in sizes])
-        owner = np.repeat(np.arange(len(group)), [len(b) // 8 for b in group["sketch"]])
-        values, code = np.unique(np.frombuffer(b"".join(group["sketch"]), np.uint64), return_inverse=True)
-        shared = np.zeros((len(first), len(second)), dtype=np.float32)
-        for start in range(0, len(values), 4096):
-            here = (code >= start) & (code < start + 4096)
-            block = np.zeros((len(group), 4096), dtype=np.float32)
-            block[owner[here], code[here] - start] = 1
-            shared += block[first] @ block[second].T
-        x, y = np.nonzero(shared >= np.maximum(least[first][:, None], least[second][None, :]))
-        out = []
-        for p, q in zip(first[x].tolist(), second[y].tolist()):
-            small, large = sorted((int(sizes[p]), int(sizes[q])))
-            if comps[p] == comps[q] or same and cids[p] >= cids[q] or 100 * small < percent * large:
-                continue
-            if min(set(group["listed"][p]) & set(group["listed"][q])) != value:
-                continue
-            p, q = (p, q) if cids[p] < cids[q] else (q, p)
-            row = group["sketch"][p], group["sketch"][q], int(sizes[p]), int(sizes[q])
-            estimate = maybe_similar(*row, percent)
-            if estimate is not None:
-                out.append((int(cids[p]), int(cids[q]), *row[2:], estimate))
-        return pd.DataFrame(out, columns=["a", "b", "n_a", "n_b", "estimate"])
-
-    columns = rows.select("value", "lo", "hi", "t", "cid", "n", "comp", "listed", "sketch")
-    schema = "a long, b long, n_a long, n_b long, estimate double"
-    return columns.groupBy("value", "lo", "hi").applyInPandas(meet, schema)
+    keys, told = ["value", "lo", "hi"], ["t", "cid", "n", "comp", "listed"]
+
+    def sieve(group: pd.DataFrame) -> pd.DataFrame:
+        sketch = [np.frombuffer(own, np.uint64) for own in group["sketch"]]
+        kept = {place for pair in _candidates(group, sketch, percent) for place in pair}
+        return group.iloc[sorted(kept)][keys + told]
+
+    def verify(group: pd.DataFrame) -> pd.DataFrame:
+        own = [np.frombuffer(raw, np.uint64) for raw in group["set"]]
+        root, links = list(range(len(own))), []
+
+        def top(place: int) -> int:
+            while root[place] != place:
+                root[place] = place = root[root[place]]
+            return place
+
+        for p, q in _candidates(group, [x[:SKETCH] for x in own], percent):
+            x, y = top(p), top(q)
+            if x != y and similar_enough(len(np.intersect1d(own[p], own[q], assume_unique=True)), len(own[p]), len(own[q]), percent):
+                root[max(x, y)] = min(x, y)
+                links.append((int(group["cid"].iloc[p]), int(group["cid"].iloc[q])))
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    shown = rows.select(*keys, *told, "sketch")
+    schema = "value long, lo long, hi long, t long, cid long, n long, comp long, listed array<long>"
+    tasks = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    open_ = cut_lineage(shown.repartition(tasks, *keys).groupBy(*keys).applyInPandas(sieve, schema))
+    sets = texts(open_.select("cid").distinct())
+    met = open_.join(sets, "cid").select(*keys, *told, "set")
+    links = cut_lineage(met.repartition(tasks, *keys).groupBy(*keys).applyInPandas(verify, "a long, b long"))
+    drop_kept(open_, sets)
+    return links
 
 
 def _sides(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -336,12 +379,12 @@ def near_duplicates(
     without words, null or empty, are linked with nothing and kept. Rows with one id and equal sets are all kept or all
     not. Null ids count in no minimum; where a component has no other, its rows have a null ``component_id`` and are kept.
     """
-    rows, classes, labels = classes_and_links(docs, percent, id_col, text_col, width)
-    named = _labelled(classes.select("cid", "rep"), labels)
+    rows, reps, labels = classes_and_links(docs, percent, id_col, text_col, width)
+    named = _labelled(reps.select("cid", "rep"), labels)
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     # Classes are as many as distinct texts; a class with many rows is split by the adaptive skew join.
     of_class = named.join(least, "comp").select("cid", "component_id")
-    out = rows.drop("sketch").join(of_class, "cid", "left")
+    out = rows.join(of_class, "cid", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -11,7 +11,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def brute(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
+def brute(texts: dict[int, str | None], percent: int = 85) -> dict[int, tuple[int, int]]:
     """(set size, least id of the component) by comparing all pairs."""
     sets = {}
     for i, text in texts.items():
@@ -28,7 +28,7 @@ def brute(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
     ids = sorted(texts)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: (len(sets[i]), root(i)) for i in ids}
@@ -96,3 +96,31 @@ def test_shared_values_have_a_sound_bound():
             common = pick.sample(range(union), -(-85 * union // 100))
             shared = sum(1 for k in common if k < len(least))
             assert shared >= neardup.shared_at_least(n, 85)
+
+
+def test_rows_without_ids_cost_no_more_than_others(spark):
+    """Every row has the same (null) id, so only texts tell them apart."""
+    pick = random.Random(6)
+    texts = [" ".join(pick.choices([f"w{k}" for k in range(500)], k=150)) for _ in range(400)]
+    texts += [t + " end" for t in texts[:100]]
+    rows = [(None, t) for t in texts]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got.count() == 500 and got.where("kept AND component_id IS NULL").count() == 500
+
+
+def test_a_crowd_at_the_threshold_in_small_tiles(spark, monkeypatch):
+    """Copies of one text with some words changed each: many pairs just below and above the threshold, in long lists."""
+    monkeypatch.setattr(neardup, "SHORT", 4)
+    monkeypatch.setattr(neardup, "TILE", 16)
+    pick = random.Random(12)
+    words = [f"w{k}" for k in range(4000)]
+    base = pick.choices(words, k=260)
+    texts = {}
+    for i in range(120):
+        other = list(base)
+        for place in pick.sample(range(260), pick.choice([3, 5, 6, 8])):
+            other[place] = pick.choice(words)
+        texts[i] = " ".join(other)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, percent=80).collect()}
+    assert got == brute(texts, percent=80)
