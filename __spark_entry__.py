@@ -330,7 +330,7 @@ def _llm() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         llm = importlib.import_module("quartier.llm.queries")
     except ModuleNotFoundError as error:
-        if error.name not in ("quartier.llm", "quartier.llm.queries", "corpus_pipeline"):
+        if error.name not in ("quartier.llm", "quartier.llm.queries"):
             raise
         return {}, {}
     return llm.QUERIES, llm.ORACLE_SQL
