@@ -9,7 +9,11 @@ character can lower the count, since it may let tokens merge). ``n_tokens`` is t
 from __future__ import annotations
 
 import json
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -18,12 +22,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quartier.llm.arrow import kept_by_worker, map_rows
-from quartier.llm.encoding import MEMO_PARTS, PartEncoder, byte_letters
+from quartier.llm.encoding import MEMO_PARTS, PartEncoder, byte_letters, stop_is_apart
 
 #: A part longer than this is not remembered; the counts along its pieces come from their own recurrence.
 LONG_PART = 64
 
 
+#: What the vocabulary takes for white space (fixed characters), and runs that hold no letter and no digit.
+_WHITE = re.compile("[\t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_NO_LETTERS = regex.compile(r"[^\s\p{L}\p{N}]*")
+
+
+@cache
+def _joins() -> frozenset[str]:
+    """Characters that normal form may join with the one before, though they are not marks."""
+    pairs = (unicodedata.decomposition(chr(c)).split() for c in range(sys.maxunicode + 1))
+    second = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<")}
+    jamo = [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]  # fixed ranges: vowels and final consonants of Hangul
+    return frozenset(second | {chr(c) for c in jamo})
+
+
+def _shown(text: str) -> str:
+    return "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+
+
+def normal_ends(text: str) -> tuple[list[tuple[int, str | None]], str]:
+    """For each character where the prefix that it ends lies in the normal form, and the normal form.
+
+    (at, None) stands for its first ``at`` characters, (at, end) for these followed by ``end``.
+    """
+    if text.isascii():
+        return [(k, None) for k in range(1, len(text) + 1)], text.lower()
+    joins = _joins()
+    starts = [k for k, c in enumerate(text) if c < "\u0300" or not (unicodedata.combining(c) or c in joins)]
+    if not starts or starts[0]:
+        starts.insert(0, 0)
+    ends: list[tuple[int, str | None]] = []
+    shown, at = [], 0
+    for begin, stop in zip(starts, [*starts[1:], len(text)]):
+        whole = _shown(text[begin:stop])
+        for k in range(begin + 1, stop):
+            part = _shown(text[begin:k])
+            ends.append((at + len(part), None) if whole.startswith(part) else (at, part))
+        shown.append(whole)
+        at += len(whole)
+        ends.append((at, None))
+    return ends, "".join(shown)
+
+
 class PrefixCounter:
     """Changes of the token count, character by character, for vocabularies that drop white space."""
 
@@ -47,7 +93,7 @@ class PrefixCounter:
         if len(self.counts) > 2 * MEMO_PARTS:
             self.counts = {p: n for p, n in self.counts.items() if len(p) < 8}
         # A full stop or comma after a Latin letter is one more token.
-        stopped = [p for p in new if p[-1] in ".," and "A" <= p[-2:-1] < "\u0250" and p[-2].isalpha() and len(p) <= LONG_PART]
+        stopped = [p for p in new if p[-1] in ".," and len(p) <= LONG_PART and stop_is_apart(p)]
         new = {p[:-1] for p in stopped}.union(new.difference(stopped))
         new = {p for p in new if p not in self.changes}
         short = [p for p in new if len(p) <= LONG_PART]
@@ -71,18 +117,51 @@ class PrefixCounter:
     def _pieces(self, text: str) -> list[str]:
         return self.pattern.findall(self.encoder.library.normalizer.normalize_str(text))
 
-    def _each(self, pieces: list[str]) -> list[int]:
-        """Counts after every character of ``pieces``."""
+    def _each(self, pieces: list[str], long: dict[int, LongRun] | None = None) -> list[int]:
+        """Counts after every character of ``pieces``; runs of pieces over ``LONG_PART`` are put in ``long`` by number."""
+        asked = list({piece[:i] for piece in pieces if len(piece) <= LONG_PART for i in range(1, len(piece) + 1)})
+        known = dict(zip(asked, self.encoder.counts(asked)))
         out, before = [], 0
-        for piece in pieces:
+        for number, piece in enumerate(pieces):
             if len(piece) > LONG_PART:
-                ends = self.long.counts(piece)
+                run = self.long.run(piece)
+                ends = run.counts
+                if long is not None:
+                    long[number] = run
             else:
-                ends = [len(ids) // 4 for ids in self.encoder.many([piece[:i] for i in range(1, len(piece) + 1)])]
+                ends = [known[piece[:i]] for i in range(1, len(piece) + 1)]
             out += [before + n for n in ends]
             before = out[-1]
         return out
 
+    def _ordinary(self, text: str) -> list[int]:
+        """Counts after every character of a text without white space and special strings.
+
+        A prefix's normal form is a prefix of the whole normal form, but for those that end between a letter and its marks:
+        they are the normal form up to the letter, and another end.
+        """
+        ends, shown = normal_ends(text)
+        if shown != self.encoder.library.normalizer.normalize_str(text):  # another version of the character tables
+            return self.encoder.counts([text[:i] for i in range(1, len(text) + 1)])
+        pieces = self.pattern.findall(shown)
+        long: dict[int, LongRun] = {}
+        counts = [0, *self._each(pieces, long)]
+        starts = np.cumsum([0, *map(len, pieces)])
+        return [counts[at] if end is None else self._other_end(shown, pieces, starts, counts, long, at, end) for at, end in ends]
+
+    def _other_end(self, shown: str, pieces: list[str], starts: np.ndarray, counts: list[int], long: dict, at: int, end: str) -> int:
+        """The count of ``shown[:at] + end``: only the last piece before ``at`` can go on in ``end``."""
+        if not at:
+            return self.encoder.counts([end])[0]
+        number = int(np.searchsorted(starts, at - 1, side="right")) - 1
+        begin = int(starts[number])
+        if number not in long or at - begin <= LONG_PART:
+            return counts[begin] + self.encoder.counts([shown[begin:at] + end])[0]
+        # A run this long is letters, or neither letters nor digits, and goes on as such.
+        first = self.pattern.findall(shown[at - 1] + end)[0][1:] if shown[at - 1] != "'" else _NO_LETTERS.match(end)[0]
+        rest = end[len(first) :]
+        return counts[begin] + long[number].with_end(at - begin, first) + (self.encoder.counts([rest])[0] if rest else 0)
+
     def _long(self, part: str) -> bytes:
         """Changes along a part of any length: earlier pieces of a part never depend on what follows them."""
         counts, before = [0], 0
@@ -90,29 +169,33 @@ class PrefixCounter:
             if k % 2:  # a special string is one token when whole, ordinary text (of the piece before it, too) until then
                 tail = (self._pieces(last) or [""])[-1] if last else ""
                 base = before - (self._each([tail])[-1] if tail else 0)
-                partly = self.encoder.many([tail + text[:i] for i in range(1, len(text))])
-                counts += [base + len(ids) // 4 for ids in partly] + [before + 1]
+                partly = self.encoder.counts([tail + text[:i] for i in range(1, len(text))])
+                counts += [base + n for n in partly] + [before + 1]
             elif text:
-                pieces = self._pieces(text)
-                if [len(p) for p in pieces] and "".join(pieces) == text.lower() and len(text) == len(text.lower()):
-                    counts += [before + n for n in self._each(pieces)]
-                else:  # characters whose normal form has another length
-                    ends = self.encoder.many([text[:i] for i in range(1, len(text) + 1)])
-                    counts += [before + len(ids) // 4 for ids in ends]
+                counts += [before + n for n in self._ordinary(text)]
             before, last = counts[-1], text
         return np.diff(np.array(counts, dtype="<i4")).astype("<i2").tobytes()
 
     def along(self, texts: list[str | None]) -> list[bytes]:
-        """The changes for each text; null counts as empty. Spaces change nothing."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        self._learn(set().union(*split))
-        return [self._joined(parts) for parts in split]
+        """The changes for each text; null counts as empty. White space changes nothing."""
+        get = self.changes.get
+        split, new = [], set()
+        for text in texts:
+            parts = _WHITE.sub(" ", text or "").split(" ")
+            found = list(map(get, parts))
+            split.append((parts, found))
+            if None in found:
+                new.update(part for part, own in zip(parts, found) if own is None)
+        self._learn(new)
+        out = []
+        for parts, found in split:
+            if None in found:
+                found = [self._known(part) if own is None else own for part, own in zip(parts, found)]
+            out.append(b"\0\0".join(found))
+        return out
 
-    def _joined(self, parts: list[str]) -> bytes:
-        try:
-            return b"\0\0".join([self.changes[p] for p in parts])
-        except KeyError:
-            return b"\0\0".join([self.changes[p] if p in self.changes else self._long(p) for p in parts])
+    def _known(self, part: str) -> bytes:
+        return self.changes[part] if part in self.changes else self._long(part)
 
 
 class LongPiece:
@@ -153,12 +236,16 @@ class LongPiece:
             self.goes[key] = parts == [left, right]
         return self.goes[key]
 
-    def counts(self, piece: str) -> list[int]:
-        """Token counts of the prefixes that end with each character, each taken as a whole word."""
+    def run(self, piece: str) -> LongRun:
         text = "".join(self.letter[b] for b in piece.encode())
         last: list[str | None] = [""]
         number, ended = [0], [0]
-        for end in range(1, len(text) + 1):
+        self.extend(text, last, number, ended, 0)
+        return LongRun(self, text, np.cumsum([0, *(len(c.encode()) for c in piece)]), last, number, ended)
+
+    def extend(self, text: str, last: list[str | None], number: list[int], ended: list[int], offset: int) -> None:
+        """Go on to the end of ``text``; its first ``offset`` characters are left out of all four."""
+        for end in range(len(last), len(text) + 1):
             last.append(None)
             number.append(0)
             ended.append(0)
@@ -166,13 +253,35 @@ class LongPiece:
                 before, token = last[start], text[start:end]
                 if before is None:
                     continue
-                if last[end] is None and token in self.vocabulary and (not start or self._stays(before, token)):
+                whole = not start and not offset
+                if last[end] is None and token in self.vocabulary and (whole or self._stays(before, token)):
                     last[end], number[end] = token, number[start] + 1
                 token += self.END
-                if not ended[end] and token in self.vocabulary and (not start or self._stays(before, token)):
+                if not ended[end] and token in self.vocabulary and (whole or self._stays(before, token)):
                     ended[end] = number[start] + 1
-        ends = np.cumsum([len(c.encode()) for c in piece])
-        return [ended[e] for e in ends]
+
+
+class LongRun:
+    """A long piece with the last token of each prefix."""
+
+    def __init__(self, of: LongPiece, text: str, ends: np.ndarray, last: list, number: list[int], ended: list[int]) -> None:
+        self.of, self.text, self.ends, self.last, self.number, self.ended = of, text, ends, last, number, ended
+
+    @property
+    def counts(self) -> list[int]:
+        """Token counts of the prefixes that end with each character, each taken as a whole word."""
+        return [self.ended[e] for e in self.ends[1:]]
+
+    def with_end(self, characters: int, end: str) -> int:
+        """The count of the first ``characters`` of the piece followed by ``end``."""
+        at = int(self.ends[characters])
+        if not end:
+            return self.ended[at]
+        offset = max(0, at - self.of.longest)
+        text = self.text[offset:at] + "".join(self.of.letter[b] for b in end.encode())
+        parts = self.last[offset : at + 1], self.number[offset : at + 1], self.ended[offset : at + 1]
+        self.of.extend(text, *parts, offset)
+        return parts[2][-1]
 
 
 def prefix_counts(docs: DataFrame, tokenizer: str, store: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

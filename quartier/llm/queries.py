@@ -12,7 +12,7 @@ import corpus_pipeline
 from quartier.llm import (
     hardneg, language, manifest, neardup, packing, pieces, prefixes, quality, sharding, simhash, tokenfiles, toxicity, vectors,
 )
-from quartier.session import scratch_path
+from quartier.session import cut_lineage, scratch_path
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -49,9 +49,15 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts at every prefix are kept as a table; the total, and how much fits the limit, are read from it."""
+    limit = 2048
     docs = _table(spark, sf_dir, "documents")
-    counts = prefixes.prefix_counts(docs, public_tokenizers.path(WORD_BPE), store=False)
-    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+    kept = cut_lineage(prefixes.prefix_counts(docs, public_tokenizers.path(WORD_BPE)).drop("n_tokens"))
+    characters = F.expr("octet_length(changes) div 2")
+    n_tokens = prefixes.tokens_of_prefix(F.col("changes"), characters)
+    fits = prefixes.longest_within(F.col("changes"), F.lit(limit))
+    counts = kept.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), fits.alias("characters_within_limit"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

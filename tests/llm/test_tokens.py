@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -16,7 +17,7 @@ from quartier.session import scratch_path
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 PARTS = [" ", "  ", "\n", "\t", "a", "B", "the", "é", "é", "́", "0", "12", "'s", "'", "re", "<|endoftext|>", "<|",
-         " ", "😀", "中文", "!", "...", "\r\n", "Σ", "İ", "\x00", "end. ", "\n\n"]
+         " ", "😀", "中文", "!", "...", "\r\n", "Σ", "İ", "İ.", "Í,", "\x00", "end. ", "\n\n"]
 SCHEMA = "doc_id long, text string, ids string, start string, changes string, part string"
 
 
@@ -40,6 +41,16 @@ def test_ids_are_the_library_s(path):
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [*library(path, some), []]
 
 
+def test_stops_after_any_latin_letter():
+    letters = [chr(c) for c in range(0x20, 0x250)]
+    some = [f"{before}{c}{stop}{after}" for c in letters for stop in ".," for before in ("", "ab", "BELGES") for after in ("", " ve x")]
+    for path in (BYTE, WORD):
+        got = encoding.PartEncoder(path).encode(some)
+        assert [np.frombuffer(b, "<u4").tolist() for b in got] == library(path, some)
+    changes = prefixes.PrefixCounter(WORD).along(some)
+    assert [int(np.frombuffer(b, "<i2").sum()) for b in changes] == [len(ids) for ids in library(WORD, some)]
+
+
 def test_count_at_every_prefix():
     pick = random.Random(3)
     some = texts(300) + ["".join(pick.choices(["erth", "ing", "q" * 9, "中文字", "!!", "12", "'re"], k=40)) for _ in range(20)]
@@ -49,10 +60,27 @@ def test_count_at_every_prefix():
         assert np.cumsum(np.frombuffer(changes, "<i2")).tolist() == want
 
 
-def test_a_long_run_takes_linear_time():
-    text = "abcdefgh" * 5000
-    (changes,) = prefixes.PrefixCounter(WORD).along([text])
-    assert np.frombuffer(changes, "<i2").sum() == len(library(WORD, [text])[0])
+@pytest.mark.parametrize("unit", ["abcdefgh", "ab\tcd\x0b", "中文\u3000字", "DERGİ", "e\u0301x", "e\u0323\u0301", "a,b;", "<|endoftext|>x", "가\u11a8", "q1"])
+def test_a_long_part_takes_linear_time(unit):
+    counter = prefixes.PrefixCounter(WORD)
+    text = unit * 40
+    (changes,) = counter.along([text])
+    want = [len(ids) for ids in library(WORD, [text[:i] for i in range(1, len(text) + 1)])]
+    assert np.cumsum(np.frombuffer(changes, "<i2")).tolist() == want
+    text = unit * (100_000 // len(unit))
+    start = time.process_time()
+    (changes,) = counter.along([text])
+    assert time.process_time() - start < 30
+    assert np.frombuffer(changes, "<i2").sum() == len(library(WORD, [text])[0]) and len(changes) == 2 * len(text)
+
+
+def test_marks_in_long_parts():
+    pick = random.Random(8)
+    units = ["e", "\u0301", "\u0323", "İ", "'", "s", "x" * 70, "!" * 70, "ß", "Σ", "중", "ᄀ", "\u1161", "\u11a8", "\u09c7", "\u09be", "Å", "1", ","]
+    some = ["x" * 66 + "".join(pick.choices(units, k=12)) for _ in range(120)]
+    for text, changes in zip(some, prefixes.PrefixCounter(WORD).along(some)):
+        want = [len(ids) for ids in library(WORD, [text[:i] for i in range(1, len(text) + 1)])]
+        assert np.cumsum(np.frombuffer(changes, "<i2")).tolist() == want, ascii(text)
 
 
 def test_prefix_table_answers_budgets(spark):
