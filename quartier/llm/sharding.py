@@ -61,16 +61,21 @@ def interleave(
     part = STEPS * (F.col("_ahead") + F.col("_rank")) - F.col("_u")  # over STEPS * _total it is the row's fraction
     placed = ranked.withColumn("_part", part).withColumn("_slice", F.expr(f"_part * {BUCKETS} div ({STEPS} * _total)"))
 
-    # How many rows of a source lie before slice j follows from n, u and j, so the slices' starts need no second pass.
+    # How many rows of a source lie in slice j follows from n, u and j, so the slices' starts need no second pass. Sources of
+    # one size and u go together; one with fewer rows than slices is counted row by row, so there are never more than rows.
     sizes = counts.groupBy("_stratum").agg(F.max("_total").alias("_total"), F.max("_u").alias("_u"))
     sizes = sizes.groupBy("_total", "_u").agg(F.count(F.lit(1)).alias("_sources"))
-    before = F.expr(f"({STEPS} * _slice * _total + {BUCKETS} * _u - 1) div ({STEPS * BUCKETS})")
-    slices = (
-        sizes.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))))
-        .withColumn("_before", before * F.col("_sources"))
-        .groupBy("_slice")
-        .agg(F.sum("_before").alias("_start"), F.sum(F.col("_total") * F.col("_sources")).alias("_rows"))
-    )
+    slice_of = F.expr(f"({STEPS} * _row - _u) * {BUCKETS} div ({STEPS} * _total)")
+    small = sizes.where(F.col("_total") < BUCKETS).withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_total"))))
+    small = small.select(slice_of.cast("int").alias("_slice"), F.col("_sources").alias("_in"))
+    before = f"({STEPS} * _slice * _total + {BUCKETS} * _u - 1) div ({STEPS * BUCKETS})"
+    after = f"({STEPS} * (_slice + 1) * _total + {BUCKETS} * _u - 1) div ({STEPS * BUCKETS})"
+    large = sizes.where(F.col("_total") >= BUCKETS).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))))
+    large = large.select("_slice", ((F.expr(after) - F.expr(before)) * F.col("_sources")).alias("_in"))
+    slices = small.union(large).groupBy("_slice").agg(F.sum("_in").alias("_in"))
+    # As many rows as there are slices, so one task sums them up.
+    slices = _before(slices.withColumn("_all", F.lit(0)), ["_all"], "_slice", "_in", "_start")
+    slices = slices.select("_slice", "_start", F.sum("_in").over(Window.partitionBy("_all")).alias("_rows"))
     in_slice = Window.partitionBy("_slice").orderBy(F.col("_part") / F.col("_total"), "_stratum", "_part")
     n, position = F.col("_rows"), F.col("_position")
     return (

@@ -3,6 +3,9 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
+from quartier.llm import sharding
 from quartier.llm.sharding import interleave
 
 
@@ -25,7 +28,9 @@ def test_shards_are_even_and_hold_the_mixture(spark):
             assert abs(here[source] - n * len(own) / 2003) <= 1 + len(total) / 2
 
 
-def test_equals_a_sort_of_all_rows(spark):
+@pytest.mark.parametrize("buckets", [4096, 16])
+def test_equals_a_sort_of_all_rows(spark, monkeypatch, buckets):
+    monkeypatch.setattr(sharding, "BUCKETS", buckets)
     rows = [(i, None if i % 9 == 0 else "é" * (i % 4), f"s{i % 5 if i > 60 else 0}") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     hashed = docs.selectExpr(
@@ -33,7 +38,7 @@ def test_equals_a_sort_of_all_rows(spark):
     ).collect()
     by = defaultdict(list)
     for r in hashed:
-        by[r.source, r.u].append(((r.h % 4096), r.h, r.doc_id))
+        by[r.source, r.u].append((r.h % buckets, r.h, r.doc_id))
     order = []
     for (source, u), own in by.items():
         order += [((1024 * (k + 1) - u) / len(own), source, i) for k, (_, _, i) in enumerate(sorted(own))]
@@ -48,3 +53,9 @@ def test_edge_rows(spark):
     got = interleave(spark.createDataFrame(same, schema), shards=4).collect()
     assert len(got) == 8 and sorted(Counter(r.shard for r in got).values()) == [2, 2, 2, 2]
     assert {r.size for r in got} == {17, 16}
+
+
+def test_many_sources_cost_no_more_than_their_rows(spark):
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "'x' AS text", "concat('host', id div 2) AS source")
+    got = interleave(docs, shards=40).groupBy("shard").agg({"slot": "max", "*": "count"}).collect()
+    assert len(got) == 40 and all(r["count(1)"] == 1500 == r["max(slot)"] + 1 for r in got)
