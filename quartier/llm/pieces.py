@@ -242,7 +242,12 @@ def _weights(pieces: Pieces, text: str, starts: list[State], clean_start: bool,
 def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     """(row, ids) of texts longer than a chunk."""
     make = lambda: kept_by_worker(("pieces", model), lambda: Pieces(model))
-    chunks = cut_lineage(_chunk_rows(docs, 64, chunk).repartition("row", "k"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = cut_lineage(_chunk_rows(docs, 64, chunk).repartition(tasks, "row", "k"))
+    # Between clean cuts there is nothing to solve: what is left are chunks with an end inside a run without a space.
+    free = F.col("clean_start") & F.col("clean")
+    place = F.col("begin"), F.col("begin"), F.col("cut"), F.col("cut")
+    plain = chunks.where(free).select("row", "k", *(c.alias(n) for c, n in zip(place, ("s0", "s1", "e0", "e1"))))
 
     def measure():
         pieces = make()
@@ -252,22 +257,26 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
                 starts, ends = _ends(pieces, t, f, b, c, x, y)
                 weights = _weights(pieces, t, starts, x, ends, y)
                 told = [f + v for s in ends for v in s]
-                yield r, n, len(starts), len(ends), np.where(np.isinf(weights), 0, 1).astype(np.int8).tobytes(), told
+                reached = np.where(np.isinf(weights), 0, 1).astype(np.int8).tobytes()
+                yield r, n, b if x else None, len(starts), len(ends), reached, told
 
         return step
 
-    matrices = map_rows(chunks, "row long, k int, rows int, columns int, reached binary, ends array<long>", measure)
+    schema = "row long, k int, begin long, rows int, columns int, reached binary, ends array<long>"
+    matrices = map_rows(chunks.where(~free), schema, measure)
 
     def solve(one: pd.DataFrame) -> pd.DataFrame:
         one = one.sort_values("k")
         shaped = [np.frombuffer(b, np.int8).reshape(r, c) for b, r, c in zip(one["reached"], one["rows"], one["columns"])]
         found = find_states([np.where(m > 0, 0.0, -np.inf) for m in shaped])
         ends = [(int(e[2 * i]), int(e[2 * i + 1])) for e, i in zip(one["ends"], found)]
-        starts = [(0, 0), *ends[:-1]]
+        starts = [(0, 0), *ends[:-1]]  # of the chunk before, unless a clean cut is between
+        starts = [s if pd.isna(b) else (int(b), int(b)) for b, s in zip(one["begin"], starts)]
         rows = [(r, k, *s, *e) for r, k, s, e in zip(one["row"], one["k"], starts, ends)]
         return pd.DataFrame(rows, columns=["row", "k", "s0", "s1", "e0", "e1"])
 
-    states = matrices.groupBy("row").applyInPandas(solve, "row long, k int, s0 long, s1 long, e0 long, e1 long")
+    solved = matrices.repartition(tasks, "row").groupBy("row")
+    states = plain.union(solved.applyInPandas(solve, "row long, k int, s0 long, s1 long, e0 long, e1 long"))
     joined = chunks.join(states, ["row", "k"]).select(
         "row", "k", "first", "clean_start", "clean", "text", "s0", "s1", "e0", "e1"
     )
