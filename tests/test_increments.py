@@ -95,3 +95,40 @@ def test_batches_are_named_plainly(spark, tmp_path, dimensions):
         monthly.add("../x", *_frames(spark, ([], [], [])))
     change = monthly.add("none", *_frames(spark, ([], [], [])))
     assert change.before.count() == change.after.count() == 0 and monthly.calendar().count() == 0
+
+
+def _kept_plans(monkeypatch) -> list[str]:
+    """The plans of the tables that loads keep, as they come."""
+    plans = []
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return cut_lineage(df)
+
+    monkeypatch.setattr(increments, "cut_lineage", spy)
+    return plans
+
+
+def test_keys_are_looked_for_in_late_batches_only_and_over_tasks_by_their_events(spark, tmp_path, dimensions, as_rows, monkeypatch):
+    pick = random.Random(8)
+    location = cut_lineage(dims.location_dim(dimensions))
+    first, late = _events(pick, 90, range(9, 12)), _events(pick, 10, [10, 11])
+    monthly = increments.MonthlyFact(spark, str(tmp_path / "fact"), location)
+    plans = _kept_plans(monkeypatch)
+    change = monthly.add("first", *_frames(spark, first))
+    assert not any("LeftSemi" in plan or "LeftAnti" in plan for plan in plans)
+    assert change.before.count() == 0 and as_rows(change.after) == as_rows(monthly.fact())
+
+    plans.clear()
+    monkeypatch.setattr(increments, "TASK_EVENTS", 20)
+    monthly.add("late", *_frames(spark, late))
+    of_months = sum(events.where("time_id IN (202011, 202012)").count() for events in map(monthly.events, increments.KINDS))
+    tasks = 1 + of_months // 20
+    assert tasks > 4
+    # The rows of touched keys from their events, those before and those that stay.
+    dealt = [plan for plan in plans if "RepartitionByExpression [business_id" in plan]
+    assert len(dealt) == 3 and all(f"], {tasks}" in plan for plan in dealt)
+    everything = [[*a, *b] for a, b in zip(first, late)]
+    reviews, tips, checkins = _frames(spark, everything)
+    whole = facts.performance_fact(reviews, tips, checkins, location, dims.month_dim(reviews, "date"))
+    assert as_rows(monthly.fact()) == as_rows(whole)
