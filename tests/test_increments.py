@@ -132,3 +132,27 @@ def test_keys_are_looked_for_in_late_batches_only_and_over_tasks_by_their_events
     reviews, tips, checkins = _frames(spark, everything)
     whole = facts.performance_fact(reviews, tips, checkins, location, dims.month_dim(reviews, "date"))
     assert as_rows(monthly.fact()) == as_rows(whole)
+
+
+def test_merged_summaries_read_dimensions_that_are_kept(spark, tmp_path, as_rows):
+    import __spark_entry__ as entry
+
+    day = [dt.datetime(1995 + k % 2, 1 + k % 5, 1 + k % 20) for k in range(60)]
+    tables = {
+        "region": ([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N0", 0), (1, "N1", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(k, f"C{k}", k % 2, float(k - 1), "SEG") for k in range(9)],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": ([(0, "P0"), (1, "P1")], "p_partkey long, p_type string"),
+        "orders": ([(k, k % 9, "OF"[k % 2], day[k], f"{1 + k % 5}-X") for k in range(60)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(k, k % 2, day[k]) for k in range(60)], "l_orderkey long, l_partkey long, l_shipdate timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    _, mart = entry._merged_states(spark, str(tmp_path))
+    for table in (mart.business, mart.location, mart.business_category, mart.calendar):
+        assert all("/kept-" in file for file in table.inputFiles())
+    queries = entry.queries()
+    for merged, built in (("m1_merged_after_change", "m1_state_years"), ("m3_merged_after_change", "m3_category_stats")):
+        assert as_rows(queries[merged](spark, str(tmp_path))) == as_rows(queries[built](spark, str(tmp_path)))
