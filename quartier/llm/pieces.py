@@ -15,7 +15,8 @@ to find the state at every cut; then each chunk is traced by itself between its
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -297,28 +298,38 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     return traced.groupBy("row").agg(F.unhex(whole).alias("ids"))
 
 
-def encode(docs: DataFrame, model: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, ids) of every row of ``docs``; ids as little-endian unsigned 32-bit numbers.
-
-    A null or empty text has no ids. Texts longer than ``chunk`` go by chunks, over as many tasks; equal ones once.
-    Repeated rows stay, further columns are not looked at.
-    """
+def _encoded(docs: DataFrame, model: str, chunk: int, id_col: str, text_col: str, schema: str, row: Callable[..., tuple]) -> DataFrame:
+    """What ``row`` makes of vocabulary, id, text and ids of every row, in the Python process that finds the ids of short texts."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     long = F.length("text") > chunk
 
-    def work():
+    def short():
         pieces = kept_by_worker(("pieces", model), lambda: Pieces(model))
 
-        def step(ids: list, texts: list) -> Iterator[tuple]:
-            yield from zip(ids, texts, pieces.encode(texts))
+        def step(keys: list, texts: list) -> Iterator[tuple]:
+            return map(partial(row, pieces), keys, texts, pieces.encode(texts))
 
         return step
 
-    short = map_rows(rows.where(~long), "doc_id long, text string, ids binary", work)
+    def whole():
+        pieces = kept_by_worker(("pieces", model), lambda: Pieces(model))
+        return partial(map, partial(row, pieces))
+
     giants = rows.where(long).withColumn("row", F.xxhash64("text"))
     solved = _giants(giants.groupBy("row").agg(F.first("text").alias("text")), model, chunk)
-    return short.union(giants.join(solved, "row").select("doc_id", "text", "ids"))
+    traced = giants.join(solved, "row").select("doc_id", "text", "ids")
+    return map_rows(rows.where(~long), schema, short).union(map_rows(traced, schema, whole))
+
+
+def encode(docs: DataFrame, model: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, ids) of every row of ``docs``; ids as little-endian unsigned 32-bit numbers.
+
+    A null or empty text has no ids. Texts longer than ``chunk`` go by chunks, over as many tasks; equal ones once.
+    Repeated rows stay, further columns are not looked at.
+    """
+    schema = "doc_id long, text string, ids binary"
+    return _encoded(docs, model, chunk, id_col, text_col, schema, lambda pieces, key, text, ids: (key, text, ids))
 
 
 def decode(ids: Column, model: str) -> Column:
@@ -332,16 +343,25 @@ def decode(ids: Column, model: str) -> Column:
     return text(ids)
 
 
+def _digest(pieces: Pieces, key: int | None, text: str, ids: bytes) -> tuple:
+    return key, len(ids) // 4, zlib.crc32(ids), pieces.decode(ids) == text.replace(SPACE, " ")
+
+
+_DIGESTS = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean"
+
+
 def digests(encoded: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, round_trip): whether the ids decode to the text, where a shown space is a space."""
 
     def work():
-        pieces = kept_by_worker(("pieces", model), lambda: Pieces(model))
+        return partial(map, partial(_digest, kept_by_worker(("pieces", model), lambda: Pieces(model))))
 
-        def step(keys: list, texts: list, ids: list) -> Iterator[tuple]:
-            for key, text, own in zip(keys, texts, ids):
-                yield key, len(own) // 4, zlib.crc32(own), pieces.decode(own) == text.replace(SPACE, " ")
+    return map_rows(encoded, _DIGESTS, work)
 
-        return step
 
-    return map_rows(encoded, "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean", work)
+def encode_digests(docs: DataFrame, model: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`digests` of :func:`encode`, each made where the ids are found.
+
+    Texts and ids do not go on to a second Python process, of which a task would have two at a time.
+    """
+    return _encoded(docs, model, chunk, id_col, text_col, _DIGESTS, _digest)

@@ -66,8 +66,7 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = public_tokenizers.path(PIECE_BPE)
-    return pieces.digests(pieces.encode(_table(spark, sf_dir, "documents"), model), model)
+    return pieces.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,3 +46,20 @@ def test_chunks_give_the_library_s_ids(spark, chunk, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pieces.encode(docs, MODEL).count() == 0
+
+
+def plan_steps(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+
+def test_digests_are_made_where_the_ids_are_found(spark):
+    """Digests of short texts go through one Python process, not a second one beside it."""
+    some = [*texts(40, 30, 4), "a" * 200, "long " * 60, None, "", *["x" * 90 + " y" * 90] * 2]
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(3)
+    got = pieces.encode_digests(docs, MODEL, chunk=40)
+    apart = pieces.digests(pieces.encode(docs, MODEL, chunk=40), MODEL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, apart.collect()))
+    assert got.count() == len(some)
+    short = docs.where("length(text) < 40")
+    steps = [plan_steps(pieces.encode_digests(short, MODEL, chunk=40)), plan_steps(pieces.encode(short, MODEL, chunk=40))]
+    assert steps[0] == steps[1] + 1  # for giants, which have their ids by then
