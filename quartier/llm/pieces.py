@@ -298,6 +298,10 @@ def _giants(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     return traced.groupBy("row").agg(F.unhex(whole).alias("ids"))
 
 
+def _as_it_is(pieces: Pieces, key: int | None, text: str, ids: bytes) -> tuple:
+    return key, text, ids
+
+
 def _encoded(docs: DataFrame, model: str, chunk: int, id_col: str, text_col: str, schema: str, row: Callable[..., tuple]) -> DataFrame:
     """What ``row`` makes of vocabulary, id, text and ids of every row, in the Python process that finds the ids of short texts."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -319,7 +323,7 @@ def _encoded(docs: DataFrame, model: str, chunk: int, id_col: str, text_col: str
     giants = rows.where(long).withColumn("row", F.xxhash64("text"))
     solved = _giants(giants.groupBy("row").agg(F.first("text").alias("text")), model, chunk)
     traced = giants.join(solved, "row").select("doc_id", "text", "ids")
-    return map_rows(rows.where(~long), schema, short).union(map_rows(traced, schema, whole))
+    return map_rows(rows.where(~long), schema, short).union(traced if row is _as_it_is else map_rows(traced, schema, whole))
 
 
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,8 +332,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK, id_col: str = "doc_i
     A null or empty text has no ids. Texts longer than ``chunk`` go by chunks, over as many tasks; equal ones once.
     Repeated rows stay, further columns are not looked at.
     """
-    schema = "doc_id long, text string, ids binary"
-    return _encoded(docs, model, chunk, id_col, text_col, schema, lambda pieces, key, text, ids: (key, text, ids))
+    return _encoded(docs, model, chunk, id_col, text_col, "doc_id long, text string, ids binary", _as_it_is)
 
 
 def decode(ids: Column, model: str) -> Column:
