@@ -4,9 +4,9 @@ Vectors get one more component that gives all the same length, so that the large
 are turned by one random rotation, so that any few components tell as much as any others. Centroids, fitted on a bounded
 sample, deal every vector into a list; a query is compared with the vectors of the lists whose centroids are nearest.
 
-Within a list, components are read in column blocks. After each block the distance so far, scaled up, is tested against the
-twentieth-best distance known: a candidate is abandoned once it could be nearer only by a chance that ``DOUBT`` sets. The
-survivors' inner products are taken in double precision on the original vectors.
+Within a list, components are read in column blocks, for many queries at a time. After each block the distance so far, scaled
+up, is tested against the twentieth-best distance known: a candidate is abandoned once it could be nearer only by a chance
+that ``DOUBT`` sets. The survivors' inner products are taken in double precision on the original vectors.
 
 A list is worked on in tiles of bounded size, at most ``TILE`` candidates against ``TILE`` queries, however many vectors one
 list holds.
@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from quartier.llm.arrow import map_rows
 from quartier.session import cut_lineage
@@ -36,6 +38,11 @@ PROBED = 0.75
 TILE = 4096
 #: Components read between two tests.
 COLUMNS = 16
+#: Queries compared with a tile at a time; pairs are read by themselves once they are fewer than one in ``FEW``.
+QUERIES = 128
+FEW = 32
+#: Pairs whose inner products are taken at a time.
+PAIRS = 1 << 15
 DOUBT = 3.0
 SEED = 7
 
@@ -59,7 +66,7 @@ class Index:
 
     def nearest_lists(self, turned: np.ndarray, how_many: int) -> np.ndarray:
         far = (self.centroids**2).sum(axis=1)[None, :] - 2 * turned @ self.centroids.T
-        return np.argsort(far, axis=1, kind="stable")[:, :how_many]
+        return far.argmin(axis=1)[:, None] if how_many == 1 else np.argsort(far, axis=1, kind="stable")[:, :how_many]
 
 
 def fit(vectors: DataFrame, seed: int = SEED) -> Index | None:
@@ -91,39 +98,81 @@ def fit(vectors: DataFrame, seed: int = SEED) -> Index | None:
     return Index(rotation, centroids, start.longest)
 
 
-def scan(candidates: np.ndarray, query: np.ndarray, k: int, doubt: float = DOUBT) -> np.ndarray:
-    """Places of the rotated ``candidates`` that stay possible among the ``k`` nearest to ``query``.
+def scan(candidates: np.ndarray, queries: np.ndarray, k: int, doubt: float = DOUBT) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (place of a query, place of a candidate) of rotated vectors that stay possible among the query's ``k`` nearest.
 
     The distance over the first d of D components, times D / d, is within a factor (1 + doubt / sqrt(d)) ** 2 of the
-    whole one but for a small chance. ``candidates`` has one row per component, so that a block is read in one piece.
+    whole one but for a small chance. ``candidates`` has one row per component, ``queries`` one per query, so that a block
+    of components is one product of matrices. Once few pairs are left, they are read by themselves.
     """
     size, n = candidates.shape
     if n <= k:
-        return np.arange(n)
+        which, place = np.nonzero(np.ones((len(queries), n), dtype=bool))
+        return which, place
+    squares = candidates**2
     first = np.arange(0, n, max(1, n // (4 * k)))
-    known = ((candidates[:, first] - query[:, None]) ** 2).sum(axis=0)
-    bound = np.partition(known, k - 1)[k - 1] * (1 + 1e-5)
-    alive, far = np.arange(n), np.zeros(n)
+    own = (queries**2).sum(axis=1)[:, None]
+    known = squares[:, first].sum(axis=0) + own - 2 * queries @ candidates[:, first]
+    slack = 1e-5 * (squares.sum(axis=0).max() + own[:, 0])  # what single precision may add or take away
+    bound = np.partition(known, k - 1, axis=1)[:, k - 1] + slack
+    places, far = np.arange(n), np.zeros((len(queries), n), dtype=candidates.dtype)
     for start in range(0, size, COLUMNS):
-        block = slice(start, min(start + COLUMNS, size))
-        far = far + ((candidates[block][:, alive] - query[block, None]) ** 2).sum(axis=0)
-        read = block.stop
+        read = min(start + COLUMNS, size)
+        part, block = queries[:, start:read], candidates[start:read, places] if len(places) < n else candidates[start:read]
+        far += (block**2).sum(axis=0) + (part**2).sum(axis=1)[:, None] - 2 * part @ block
         if read == size:
-            near = far <= bound
-        else:
-            near = far * size / read <= bound * (1 + doubt / math.sqrt(read)) ** 2
-        alive, far = alive[near], far[near]
-    return alive
+            break
+        near = far <= (bound * (1 + doubt / math.sqrt(read)) ** 2 * (read / size) + slack)[:, None]
+        if np.count_nonzero(near) * FEW < near.size:
+            which, at = np.nonzero(near)
+            return _scan_pairs(candidates, queries, which, places[at], far[which, at], read, bound, slack, doubt)
+        wanted = near.any(axis=0)
+        if 2 * np.count_nonzero(wanted) < len(places):
+            places, far = places[wanted], far[:, wanted]
+    if len(places) > k:
+        bound = np.minimum(bound, np.partition(far, k - 1, axis=1)[:, k - 1] + slack)
+    which, at = np.nonzero(far <= bound[:, None])
+    return which, places[at]
+
+
+def _scan_pairs(
+    candidates: np.ndarray, queries: np.ndarray, which: np.ndarray, place: np.ndarray, far: np.ndarray, read: int,
+    bound: np.ndarray, slack: np.ndarray, doubt: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The rest of a scan for the pairs (``which``, ``place``), whose distance over the ``read`` first components is ``far``."""
+    size = len(candidates)
+    while read < size:
+        start, read = read, min(read + COLUMNS, size)
+        far = far + ((candidates[start:read, place] - queries[which, start:read].T) ** 2).sum(axis=0)
+        factor = 1 if read == size else (1 + doubt / math.sqrt(read)) ** 2 * (read / size)
+        near = far <= (bound * factor + slack)[which]
+        which, place, far = which[near], place[near], far[near]
+    return which, place
+
+
+def best(
+    candidates: np.ndarray, ids: np.ndarray, queries: np.ndarray, keys: np.ndarray, which: np.ndarray, place: np.ndarray, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, inner product) of each query's ``k`` best among the pairs (``which``, ``place``), itself left out.
+
+    Ties go to the smaller id; equal vectors get equal products.
+    """
+    other = ids[place] != keys[which]
+    which, place = which[other], place[other]
+    scores = np.empty(len(which))
+    for start in range(0, len(which), PAIRS):
+        part = slice(start, start + PAIRS)
+        scores[part] = (candidates[place[part]] * queries[which[part]]).sum(axis=1)
+    order = np.lexsort((ids[place], -scores, which))
+    which, place, scores = which[order], place[order], scores[order]
+    first = np.arange(len(which)) - np.searchsorted(which, which) < k
+    return keys[which[first]], ids[place[first]], scores[first]
 
 
-def best(candidates: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and inner products of the ``k`` best, ties to the smaller id; equal vectors get equal products."""
-    scores = (candidates * query).sum(axis=1)
-    if own is not None:
-        other = ids != own
-        scores, ids = scores[other], ids[other]
-    order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+def _vectors(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, and vectors as rows of a matrix, of the last two columns."""
+    ids, own = rows.columns[-2:]
+    return ids.to_numpy(), np.frombuffer(b"".join(own.to_pylist()), np.float64).reshape(len(ids), -1)
 
 
 def neighbours(
@@ -154,46 +203,45 @@ def neighbours(
     def deal():
         def step(ids: list, vectors: list, asks: list) -> Iterator[tuple]:
             raw = np.array(vectors, dtype=np.float64)
-            turned = index.turned(raw)
-            for key, own, value, which in zip(ids, raw, turned.astype(np.float32), index.nearest_lists(turned, 1)[:, 0]):
-                yield int(which), key, False, own.tobytes(), value.tobytes()
+            lists = index.nearest_lists(index.turned(raw), 1)[:, 0]
+            looks: list[list[int] | None] = [None] * len(ids)
             asking = np.flatnonzero(asks)
             if len(asking):
-                turned = index.turned(raw[asking], query=True)
-                for at, value, lists in zip(asking, turned.astype(np.float32), index.nearest_lists(turned, probes)):
-                    for which in lists:
-                        yield int(which), ids[at], True, raw[at].tobytes(), value.tobytes()
+                for at, near in zip(asking, index.nearest_lists(index.turned(raw[asking], query=True), probes)):
+                    looks[at] = near.tolist()
+            yield from zip(lists.tolist(), looks, ids, (own.tobytes() for own in raw))
 
         return step
 
-    dealt = cut_lineage(map_rows(rows, "list int, id long, asks boolean, own binary, turned binary", deal))
-    tiles = dealt.groupBy("list").agg(
-        *(F.ceil(F.sum((F.col("asks") == side).cast("long")) / TILE).alias(name) for side, name in ((False, "c"), (True, "q")))
-    ).where("c > 0 AND q > 0")
-    placed = dealt.join(F.broadcast(tiles), "list").withColumn("_at", F.xxhash64("id"))  # at most MOST_LISTS rows
-    left = placed.where("NOT asks").withColumn("ct", F.pmod("_at", F.col("c")))
+    dealt = cut_lineage(map_rows(rows, "list int, looks array<int>, id long, own binary", deal))
+    asked = dealt.where("looks IS NOT NULL").select(F.explode("looks").alias("list"), "id", "own")
+    counts = [side.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / TILE).alias(n)) for side, n in ((dealt, "c"), (asked, "q"))]
+    tiles = F.broadcast(counts[0].join(counts[1], "list"))  # at most MOST_LISTS rows
+    at = F.xxhash64("id")
+    left = dealt.select("list", "id", "own").join(tiles, "list").withColumn("ct", F.pmod(at, F.col("c")))
     left = left.withColumn("qt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1)))
-    right = placed.where("asks").withColumn("qt", F.pmod("_at", F.col("q")))
+    right = asked.join(tiles, "list").withColumn("qt", F.pmod(at, F.col("q")))
     right = right.withColumn("ct", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)))
-    keys, columns = ["list", "ct", "qt"], ["id", "own", "turned"]
-
-    def meet(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
+    keys = ["list", "ct", "qt"]
+    turns = replace(index, centroids=index.centroids[:0])
+    made = _parse_datatype_string("query_id long, vec_id long, score double")
+    assert isinstance(made, StructType)
+    kind = to_arrow_schema(made)
+
+    def meet(candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(candidates) and len(queries):
-            ids = candidates["id"].to_numpy()
-            own = np.frombuffer(b"".join(candidates["own"]), np.float64).reshape(len(ids), -1)
-            turned = np.frombuffer(b"".join(candidates["turned"]), np.float32).reshape(len(ids), -1).T.copy()
-            for key, raw, value in zip(queries["q_id"], queries["q_own"], queries["q_turned"]):
-                near = scan(turned, np.frombuffer(value, np.float32), k + 1)  # one more: the query itself
-                got, scores = best(own[near], ids[near], np.frombuffer(raw, np.float64), key, k)
-                found += [(key, int(i), float(s)) for i, s in zip(got, scores)]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    asking = right.select(*keys, *columns).toDF(*(f"q_{c}" for c in keys + columns))
-    met = (
-        left.select(*keys, *columns).groupBy(*keys).cogroup(asking.groupBy(*(f"q_{c}" for c in keys)))
-        .applyInPandas(meet, "query_id long, vec_id long, score double")
-    )
+            (ids, own), (wanting, raw) = (_vectors(side) for side in (candidates, queries))
+            turned = np.ascontiguousarray(turns.turned(own).T, dtype=np.float32)
+            for start in range(0, len(wanting), QUERIES):
+                part = slice(start, start + QUERIES)
+                pairs = scan(turned, turns.turned(raw[part], query=True).astype(np.float32), k + 1)  # one more: the query itself
+                found.append(best(own, ids, raw[part], wanting[part], *pairs, k))
+        return pa.table([np.concatenate(column) for column in zip(*found)], schema=kind)
+
+    columns = [*keys, "id", "own"]
+    asking = right.select(*columns).toDF(*(f"q_{c}" for c in columns))
+    met = left.select(*columns).groupBy(*keys).cogroup(asking.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(meet, made)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

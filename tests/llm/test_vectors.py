@@ -59,3 +59,32 @@ def test_edge_rows(spark, monkeypatch):
     few = table(spark, {0: np.array([1.0, 0.0]), 1: np.array([0.0, 1.0])})
     assert [(r.query_id, r.vec_id) for r in vectors.neighbours(few, F.col("vec_id") == 0).collect()] == [(0, 1)]
     assert vectors.neighbours(few.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def scanned(rows, queries, k):
+    which, place = vectors.scan(np.ascontiguousarray(rows.T, dtype=np.float32), queries.astype(np.float32), k)
+    far = ((queries[:, None, :] - rows[None, :, :]) ** 2).sum(axis=2)
+    return [place[which == q] for q in range(len(queries))], np.argsort(far, axis=1, kind="stable")[:, :k]
+
+
+def test_scan_takes_many_queries_and_keeps_little_more_than_the_nearest():
+    random = np.random.default_rng(5)
+    even = random.normal(size=(3000, 64))
+    even /= np.linalg.norm(even, axis=1)[:, None]
+    places = random.normal(size=(150, 64)) * 4
+    clustered = (places[:, None, :] + random.normal(size=(150, 20, 64)) * 0.05).reshape(-1, 64)
+    for rows in (even, clustered, clustered * 1e4):
+        kept, nearest = scanned(rows, rows[::40], 21)
+        assert all(set(near) <= set(own) for own, near in zip(kept, nearest))
+        assert sum(map(len, kept)) <= 3 * 21 * len(kept)
+    same = np.repeat(even[:3], 50, axis=0)
+    assert all(set(range(50 * q, 50 * q + 50)) <= set(own) for q, own in enumerate(scanned(same, even[:3], 21)[0]))
+    assert [list(own) for own in scanned(even[:4], even[:2], 21)[0]] == [[0, 1, 2, 3]] * 2
+
+
+def test_best_of_pairs_breaks_ties_by_id_and_leaves_the_query_out(monkeypatch):
+    monkeypatch.setattr(vectors, "PAIRS", 3)
+    rows, ids = np.array([[1.0, 0.0], [1.0, 0.0], [0.5, 0.0], [2.0, 0.0]]), np.array([9, 4, 7, 5])
+    which, place = np.nonzero(np.ones((2, 4), dtype=bool))
+    got = vectors.best(rows, ids, np.array([[1.0, 0.0], [2.0, 1.0]]), np.array([4, 8]), which, place, 2)
+    assert [list(column) for column in got] == [[4, 4, 8, 8], [5, 9, 5, 4], [2.0, 1.0, 4.0, 2.0]]
