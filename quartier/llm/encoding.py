@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterable
-from itertools import chain
 
 import numpy as np
 import tiktoken
@@ -85,12 +85,18 @@ class LatinWords:
     INNER = bytes([*range(97, 123), 0xC3, *range(0x80, 0xC0)])
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.last = {b: bytes([b - 32 if b < 128 else b & 0x3F]) for b in self.INNER if b != 0xC3}
+        self.as_last = np.arange(256, dtype=np.uint8)
+        for b in self.INNER:
+            self.as_last[b] = self._as_last(b)
         spare = 1 << 20
         whole = {bytes([b]): spare + b for b in range(256)} | ranks
         coding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=whole, special_tokens={})
         self.merge = coding._core_bpe.encode_single_piece
 
+    @staticmethod
+    def _as_last(byte: int) -> int:
+        return byte - 32 if byte < 128 else byte & 0x3F
+
     @classmethod
     def of(cls, model: dict) -> LatinWords | None:
         """None if ids are not in the order of merges."""
@@ -105,21 +111,40 @@ class LatinWords:
                 if plain != token:
                     if raw[-1] == 0xC3:
                         continue
-                    raw = raw[:-1] + bytes([raw[-1] - 32 if raw[-1] < 128 else raw[-1] & 0x3F])
+                    raw = raw[:-1] + bytes([cls._as_last(raw[-1])])
                 ranks[raw] = i
         return cls(ranks)
 
-    def many(self, parts: list[str]) -> list[list[int] | None]:
+    def many(self, parts: list[str]) -> list[bytes | None]:
         """Each word's ids, or None for a part that is not such a word."""
+        found: list[bytes | None] = [None] * len(parts)
         words = [k for k, part in enumerate(parts) if part.isalpha() and len(part) <= 200]
-        lowered = " ".join([parts[k] for k in words]).lower().encode().split(b" ")  # letters hold no space, in lower case too
-        found: list[list[int] | None] = [None] * len(parts)
-        inner, last, merge = self.INNER, self.last, self.merge
-        for k, raw in zip(words, lowered):
-            if not raw.translate(None, inner):
-                found[k] = merge(raw[:-1] + last[raw[-1]])
+        if not words:
+            return found
+        # Letters hold no space, in lower case too. Changed bytes may be one, so words are cut at a byte that text never has.
+        lowered = " ".join([parts[k] for k in words]).lower().encode() + b" "
+        codes = np.frombuffer(lowered, dtype=np.uint8).copy()
+        ends = np.flatnonzero(codes == 32)
+        codes[ends - 1] = self.as_last[codes[ends - 1]]
+        codes[ends] = 255
+        raws = codes[:-1].tobytes().split(b"\xff")
+        if lowered.translate(None, self.INNER + b" "):
+            strange = np.flatnonzero(~np.isin(np.frombuffer(lowered, dtype=np.uint8), list(self.INNER + b" ")))
+            other = set(np.searchsorted(ends, strange).tolist())
+            words = [k for w, k in enumerate(words) if w not in other]
+            raws = [raw for w, raw in enumerate(raws) if w not in other]
+        flat, at = array("I"), 0
+        ends = []
+        for ids in map(self.merge, raws):  # no list is kept: many would cost collections of garbage
+            flat.fromlist(ids)
+            ends.append(4 * len(flat))
+        whole = np.array(flat, dtype="<u4").tobytes()
+        for k, end in zip(words, ends):
+            found[k] = whole[at:end]
+            at = end
         return found
 
+
 class PartEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids; special strings are read as the library does by default."""
 
@@ -144,25 +169,15 @@ class PartEncoder:
 
     def many(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, as they are after a space."""
-        if self.word:
-            found = self.word.many(parts)
-            rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
-            raw = np.fromiter(chain.from_iterable(ids for ids in found if ids is not None), dtype="<u4").tobytes()
-            out, at = [], 0
-            for ids in found:
-                end = at if ids is None else at + 4 * len(ids)
-                out.append(next(rest) if ids is None else raw[at:end])
-                at = end
-            return out
-        return self._by_library(parts)
-
-    def counts(self, parts: list[str]) -> list[int]:
-        """How many ids each part has."""
         if not self.word:
-            return [len(ids) // 4 for ids in self.many(parts)]
+            return self._by_library(parts)
         found = self.word.many(parts)
         rest = iter(self._by_library([p for p, ids in zip(parts, found) if ids is None]))
-        return [len(next(rest)) // 4 if ids is None else len(ids) for ids in found]
+        return [next(rest) if ids is None else ids for ids in found]
+
+    def counts(self, parts: list[str]) -> list[int]:
+        """How many ids each part has."""
+        return [len(ids) // 4 for ids in self.many(parts)]
 
     def _by_library(self, parts: list[str]) -> list[bytes]:
         lead = " " if self.keeps_spaces else ""
@@ -195,18 +210,19 @@ class PartEncoder:
     def _found(self, split: Iterable[list[str]]) -> list[tuple[list[str], list[bytes]]]:
         """Each text's parts and their ids, from the memo once the new ones are in it."""
         get = self.memo.get
-        out, new = [], {}
+        out, new, gaps = [], set(), []
         for parts in split:
             found = list(map(get, parts))
             out.append((parts, found))
             if None in found:
-                new.update((part, None) for part, ids in zip(parts, found) if ids is None)
+                gaps.append((parts, found, [k for k, ids in enumerate(found) if ids is None]))
+                new.update([parts[k] for k in gaps[-1][2]])
         if new:
             self._learn(list(new))
             memo = self.memo
-            for parts, found in out:
-                if None in found:
-                    found[:] = [memo[part] if ids is None else ids for part, ids in zip(parts, found)]
+            for parts, found, places in gaps:
+                for k in places:
+                    found[k] = memo[parts[k]]
         return out
 
     def _spaced(self, text: str) -> bytes:

@@ -51,6 +51,20 @@ def test_stops_after_any_latin_letter():
     assert [int(np.frombuffer(b, "<i2").sum()) for b in changes] == [len(ids) for ids in library(WORD, some)]
 
 
+def test_words_are_merged_together():
+    """Words of other letters among them go to the library; no list of ids is kept for a word."""
+    encoder, pick = encoding.PartEncoder(WORD), random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzABCÀÉßéàñöÿžšΣσжİªµ"
+    parts = list(dict.fromkeys("".join(pick.choices(letters, k=pick.randint(1, 12))) for _ in range(3000)))
+    parts += ["a" * 200, "b" * 201, "à" * 120, "12", "x1", ".", "中文"]
+    want = library(WORD, parts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.many(parts)] == want
+    assert encoder.counts(parts) == [len(ids) for ids in want]
+    found = encoder.word.many(parts)
+    assert any(ids is None for ids in found) and all(ids is None or isinstance(ids, bytes) for ids in found)
+    assert encoder.word.many(["12", ""]) == [None, None] and encoder.word.many([]) == []
+
+
 def test_count_at_every_prefix():
     pick = random.Random(3)
     some = texts(300) + ["".join(pick.choices(["erth", "ing", "q" * 9, "中文字", "!!", "12", "'re"], k=40)) for _ in range(20)]
