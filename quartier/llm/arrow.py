@@ -38,6 +38,8 @@ def map_rows(
     """
     # Arrow batches as small as the steps: with Spark's default a batch of long texts would take much of an executor.
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", STEP_ROWS)
+    # Parquet's vectored reads leave a direct buffer as large as a column of texts on each thread that has read one.
+    df.sparkSession.conf.set("parquet.hadoop.vectored.io.enabled", "false")
     made = _parse_datatype_string(schema)
     assert isinstance(made, StructType)
     arrow = to_arrow_schema(made)

@@ -5,8 +5,6 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Words remembered by a task before it starts anew.
-MEMO_WORDS = 500_000
 #: Odd factors, one for each place of a word in a shingle, and those of the final mixing (fixed values of splitmix64).
 PLACES = np.array([2 * xxhash.xxh64_intdigest(f"place {k}") % 2**64 + 1 for k in range(64)], dtype=np.uint64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -26,21 +24,10 @@ def split(text: str | None, lower: bool = False) -> list[bytes]:
 
 
 class WordHashes:
-    """64-bit hashes of words, remembered within a task."""
-
-    def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
+    """64-bit hashes of words. None is remembered: looking a word up takes longer than hashing it, and memory besides."""
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        try:
-            return np.array([self.memo[w] for w in words], dtype=np.uint64)
-        except KeyError:
-            if len(self.memo) > MEMO_WORDS:
-                self.memo.clear()
-            for word in words:
-                if word not in self.memo:
-                    self.memo[word] = xxhash.xxh3_64_intdigest(word)
-            return np.array([self.memo[w] for w in words], dtype=np.uint64)
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:

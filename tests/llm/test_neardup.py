@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import pytest
+import xxhash
 
 from quartier.llm import neardup
+from quartier.llm.words import WordHashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -124,3 +127,28 @@ def test_a_crowd_at_the_threshold_in_small_tiles(spark, monkeypatch):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, percent=80).collect()}
     assert got == brute(texts, percent=80)
+
+
+def test_hashing_words_holds_no_memory():
+    hashes, texts = WordHashes(), [[b"word %d" % k for k in range(first, first + 1000)] for first in range(0, 100_000, 1000)]
+    tracemalloc.start()
+    for words in texts:
+        assert hashes.of(words)[-1] == xxhash.xxh3_64_intdigest(words[-1])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1_000_000
+    assert hashes.of([]).dtype == "uint64" and not len(hashes.of([]))
+
+
+def test_reading_texts_leaves_no_large_direct_buffers(spark, tmp_path):
+    """One file whose column of texts is one chunk of about 16 MB."""
+    pick = random.Random(8)
+    rows = [(i, pick.randbytes(2048).hex()) for i in range(4000)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    bean = spark._jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean")
+    pools = list(spark._jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(bean))
+    direct = next(pool for pool in pools if pool.getName() == "direct")
+    spark._jvm.java.lang.System.gc()
+    before = direct.getMemoryUsed()
+    assert neardup.sketches(spark.read.parquet(str(tmp_path / "docs"))).where("n > 0").count() == 4000
+    assert direct.getMemoryUsed() - before < 6_000_000
